@@ -23,6 +23,7 @@ def build_session(app: str = "legwork", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
