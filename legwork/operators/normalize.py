@@ -63,13 +63,13 @@ def flights(docs: DataFrame) -> DataFrame:
         "route",
         F.col("flightStatusPublic").alias("flight_status_public"),
         "fetched_at",
+        *(["version"] if "version" in docs.columns else []),
     )
 
 
-def legs(docs: DataFrame, stamped: bool = False) -> DataFrame:
-    """One row per leg; ``stamped`` also keeps the parent's load stamp."""
-    keep = [F.col("id").alias("flight_id"), *(["fetched_at"] if stamped else [])]
-    exploded = explode_child(docs, "flightLegs", keep, "leg")
+def legs(docs: DataFrame) -> DataFrame:
+    """One row per leg; a flight whose leg list is empty or null gives none."""
+    exploded = explode_child(docs, "flightLegs", [F.col("id").alias("flight_id")], "leg")
     return exploded.select(
         leg_id(F.col("flight_id"), F.col("position")).alias("id"),
         "flight_id",
@@ -84,30 +84,25 @@ def legs(docs: DataFrame, stamped: bool = False) -> DataFrame:
         F.col("leg.scheduledFlightDuration").alias("scheduled_flight_duration"),
         is_yes(F.col("leg.irregularity.cancelled")).alias("cancelled"),
         F.col("leg.aircraft.typeCode").alias("aircraft_type_code"),
-        *(["fetched_at"] if stamped else []),
     )
 
 
-def delays(docs: DataFrame, stamped: bool = False, positioned: bool = False) -> DataFrame:
+def delays(docs: DataFrame, linked: bool = False, positioned: bool = False) -> DataFrame:
     """One row per delay code of a leg.
 
-    ``positioned`` also keeps the place of the code in its leg, and ``stamped``
-    the flight id and load stamp of the parent.
+    ``linked`` also keeps the flight id, and ``positioned`` the place of the code in its leg.
     """
-    keep = [F.col("id").alias("flight_id"), *(["fetched_at"] if stamped else [])]
-    per_leg = explode_child(docs, "flightLegs", keep, "leg").select(
-        "flight_id",
-        *(["fetched_at"] if stamped else []),
-        "position",
-        F.posexplode(delay_entries(F.col("leg.irregularity"))).alias("delay_order", "entry"),
+    exploded = explode_child(docs, "flightLegs", [F.col("id").alias("flight_id")], "leg")
+    entries = exploded.select(
+        "flight_id", "position", F.posexplode(delay_entries(F.col("leg.irregularity"))).alias("delay_order", "entry")
     )
-    return per_leg.select(
+    return entries.select(
         delay_id(F.col("flight_id"), F.col("position"), F.col("delay_order")).alias("id"),
         leg_id(F.col("flight_id"), F.col("position")).alias("flight_leg_id"),
         F.col("entry.delayCode").alias("delay_code"),
         F.col("entry.delayDuration").alias("delay_duration"),
         *(["delay_order"] if positioned else []),
-        *(["flight_id", "fetched_at"] if stamped else []),
+        *(["flight_id"] if linked else []),
     )
 
 
@@ -122,8 +117,4 @@ def fan_out(docs: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     Returns the persisted input, which the caller releases after writing.
     """
     shared = docs.persist(StorageLevel.MEMORY_AND_DISK)
-    return shared, {
-        "flights": flights(shared),
-        "legs": legs(shared, stamped=True),
-        "delays": delays(shared, stamped=True),
-    }
+    return shared, {"flights": flights(shared), "legs": legs(shared), "delays": delays(shared, linked=True)}

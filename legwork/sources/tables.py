@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from legwork.operators.merge import latest_by_key
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -34,11 +31,6 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def current_rows(batches: DataFrame, keys: list[str], version: str = "fetched_at") -> DataFrame:
-    """The newest row per key over all batches; a late older row never wins."""
-    return latest_by_key(batches, keys, [F.desc(version), F.desc("batch_id")]).drop("batch_id")
-
-
 def compact(rows: DataFrame, path: str) -> None:
     """Write current rows as the first batch of a new table folder."""
     write_batch(rows, path, 0)

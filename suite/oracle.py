@@ -421,4 +421,106 @@ ORACLE: dict[str, str] = {
         """select leg_key "flightLegId", fcode first_code, fdur first_duration, cast(fdur as int) first_minutes,
         cast(case when late1 then 1 else 0 end + case when late2 then 1 else 0 end as int) nb_pairs, has_irr and cancel_flag cancelled from pr"""
     ),
+    # ---- features, metrics, oversampling, landed pages ----
+    "dummies": _sql(
+        "select leg_id, "
+        + ", ".join(
+            f"case when aircraft = '{v}' then 1.0::double else 0.0::double end \"aircraft_type_code_{v}\""
+            for v in ("LAR", "MED", "PRO", "SMA", "STA")
+        )
+        + " from fa"
+    ),
+    "one_hot": _sql(
+        "select leg_id, "
+        + ", ".join(
+            f"case when coalesce(aircraft, '__MISSING__') = '{v}' then 1.0::double else 0.0::double end \"aircraft_type_code_{v}\""
+            for v in ("ECO", "LAR", "MED", "PRO", "SMA", "STA", "__MISSING__")
+        )
+        + " from fa"
+    ),
+    "minmax": _sql(
+        """select leg_id, round((duration_min - lo) / (hi - lo), 6) scheduled_flight_duration_min, 0.0::double departure_month,
+        round((dd - dlo) / (dhi - dlo), 6) dep_airport_nb_departing from fa, (select cast(min(duration_min) as double) lo,
+        cast(max(duration_min) as double) hi, cast(min(dd) as double) dlo, cast(max(dd) as double) dhi from fa) b"""
+    ),
+    "standard": _sql(
+        """select leg_id, round((duration_min - m1) / s1, 6) scheduled_flight_duration_min, 0.0::double departure_month,
+        round((dd - m2) / s2, 6) dep_airport_nb_departing from fa, (select avg(duration_min) m1, stddev_pop(duration_min) s1,
+        avg(dd) m2, stddev_pop(dd) s2 from fa) b"""
+    ),
+    "numeric_features": _sql(
+        """select leg_id, duration_min scheduled_flight_duration_min, cast(isodow(flight_schedule_date) - 1 as int) departure_weekday,
+        0 departure_month, cast(dep_min // 60 as int) departure_hour, cast(day(flight_schedule_date) as int) departure_monthday,
+        cast(dd as int) dep_airport_nb_departing, cast(coalesce(da,0) as int) dep_airport_nb_arriving,
+        cast(coalesce(ad,0) as int) arr_airport_nb_departing, cast(aa as int) arr_airport_nb_arriving from fa"""
+    ),
+    "anova_topk": _sql(
+        "select feature, round(f, 4) f_value from (select feature, "
+        "(sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))) f from ("
+        "select *, sum(n * m) over (partition by feature) / sum(n) over (partition by feature) g from ("
+        + " union all ".join(
+            f"select '{name}' feature, is_delayed, cast(count(*) as double) n, avg(cast({x} as double)) m, var_pop(cast({x} as double)) v from fa group by 2"
+            for name, x in {
+                "scheduled_flight_duration_min": "duration_min",
+                "departure_weekday": "isodow(flight_schedule_date)",
+                "departure_hour": "dep_min // 60",
+                "departure_monthday": "day(flight_schedule_date)",
+                "dep_airport_nb_departing": "coalesce(dd,0)",
+                "dep_airport_nb_arriving": "coalesce(da,0)",
+                "arr_airport_nb_departing": "coalesce(ad,0)",
+                "arr_airport_nb_arriving": "coalesce(aa,0)",
+            }.items()
+        )
+        + ") a) b group by feature) c order by f desc limit 5"
+    ),
+    "class_weight": _sql(
+        """select is_delayed, n, round((select count(*) from fa) / (2.0 * n), 6) weight from
+        (select is_delayed, count(*) n from fa group by 1) z"""
+    ),
+    "stratified_split": _sql(
+        """select is_delayed, n, cast(fl + case when r <= left_over then 1 else 0 end as bigint) nb_test from (
+        select *, t - sum(fl) over () left_over, row_number() over (order by ex - fl desc) r from (
+        select is_delayed, n, t, t * n / cast(tot as double) ex, t * n // tot fl from (
+        select *, cast(ceil(tot / 5.0) as bigint) t from (select is_delayed, n, cast(sum(n) over () as bigint) tot from (
+        select is_delayed, count(*) n from fa group by 1) a) b) c) d) e"""
+    ),
+    "confusion_metrics": _sql(
+        """select tp, fp, fn, tn, round((tp+tn)/cast(tp+fp+fn+tn as double),6) accuracy,
+        case when tp+fp = 0 then 0 else round(tp/cast(tp+fp as double),6) end "precision",
+        case when tp+fn = 0 then 0 else round(tp/cast(tp+fn as double),6) end recall,
+        case when 2*tp+fp+fn = 0 then 0 else round(2*tp/cast(2*tp+fp+fn as double),6) end f1 from (
+        select count(*) filter (y and p) tp, count(*) filter (not y and p) fp, count(*) filter (y and not p) fn,
+        count(*) filter (not y and not p) tn from (select is_delayed y, coalesce(dep_delay,0) >= 15 p from fa) a) b"""
+    ),
+    "roc_auc": _sql(
+        """select round((sum(case when y then r end) - count(*) filter (y) * (count(*) filter (y) + 1) / 2.0)
+        / (cast(count(*) filter (y) as double) * count(*) filter (not y)), 6) auc from (
+        select y, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0 r from (
+        select is_delayed y, coalesce(dep_delay,0) * 1000 + duration_min s from fa) a) b"""
+    ),
+    "smote_neighbours": _sql(
+        """, pt as (select min(leg_id) rep, a, b, c, d from (select leg_id, duration_min/600.0::double a,
+          (isodow(flight_schedule_date)-1)/6.0::double b, (dep_min//60)/23.0::double c, day(flight_schedule_date)/30.0::double d
+          from fa where is_delayed) z group by a, b, c, d)
+        select rep, count(*) nb_neighbours, round(sum(dist), 6) total_distance from (
+        select x.rep, sqrt((x.a-y.a)*(x.a-y.a)+(x.b-y.b)*(x.b-y.b)+(x.c-y.c)*(x.c-y.c)+(x.d-y.d)*(x.d-y.d)) dist,
+        row_number() over (partition by x.rep order by (x.a-y.a)*(x.a-y.a)+(x.b-y.b)*(x.b-y.b)+(x.c-y.c)*(x.c-y.c)+(x.d-y.d)*(x.d-y.d)) rn
+        from pt x join pt y on x.rep <> y.rep) w where rn <= 5 group by rep"""
+    ),
+    "smote_balanced": _sql(
+        """select cast(is_delayed as int) label, most nb_rows, most - n nb_synthetic from (select is_delayed, n, max(n) over () most
+        from (select is_delayed, count(*) n from fa group by 1) a) b"""
+    ),
+    "json_scan": _sql(
+        """select flight_id id, airline_name, route, cast(n as int) nb_legs, '2026-02-01 00:00:00' fetched_at
+        from fb left join (select ok, count(*) n, min(case when leg_order=0 then dep end)||'>'||string_agg(arr, '>' order by leg_order) route
+          from lg group by ok) r on r.ok = fb.ok"""
+    ),
+    "stream_merge": _sql(
+        """select flight_id id, case when flight_number % 2 = 0 then 'UPDATED' else flight_status_public end flight_status_public,
+        case when flight_number % 2 = 0 then '2026-02-02 00:00:00' else '2026-02-01 00:00:00' end fetched_at,
+        coalesce(n, 0) nb_legs, case when flight_number % 2 = 0 then 0 else coalesce(k, 0) end nb_delays
+        from fb left join (select ok, count(*) n, sum(case when late1 then 1 else 0 end + case when late2 then 1 else 0 end) k
+          from lg group by ok) r on r.ok = fb.ok"""
+    ),
 }
