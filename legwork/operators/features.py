@@ -156,9 +156,7 @@ def stratified_split(
     df: DataFrame, label: str, key: str, test_share: Fraction = Fraction(1, 5), seed: int = 42
 ) -> DataFrame:
     """Add ``is_train``: an exact share of each class is set aside for the test."""
-    counts = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    quotas = stratified_quotas(counts, test_share)
-    flagged = smallest_hashes(df, key, quotas, label, seed, "_is_test")
+    flagged = smallest_hashes(df, key, lambda counts: stratified_quotas(counts, test_share), label, seed, "_is_test")
     return flagged.withColumn("is_train", ~F.col("_is_test")).drop("_is_test")
 
 

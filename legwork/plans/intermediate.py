@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legwork.functions.calendar import local_date, local_hour, weekday
+from legwork.functions.calendar import instant, local_date, local_hour, weekday
 from legwork.functions.durations import duration_minutes, minutes_between
-from legwork.functions.values import is_delayed
+from legwork.functions.keys import leg_id
+from legwork.functions.values import delay_entries, has_entries, int_or_zero, is_delayed, is_yes
 from legwork.operators.congestion import airport_congestion, attach_congestion
+from legwork.operators.normalize import explode_child
 
 
 def delays_per_leg(delays: DataFrame, how: str = "sum") -> DataFrame:
@@ -72,6 +74,54 @@ def int_delays_leg(flights: DataFrame, legs: DataFrame, delays: DataFrame, how:
     )
 
 
+def int_delays_nested(documents: DataFrame, how: str = "sum") -> DataFrame:
+    """The same rows straight from whole documents.
+
+    A document holds its flight, legs and delays together, so this needs no join
+    and no shuffle.
+    """
+    leg = F.col("leg")
+    departure, arrival = leg["departureInformation"], leg["arrivalInformation"]
+    exploded = explode_child(documents, "flightLegs", ["id", "flightNumber", "flightScheduleDate", "airline"], "leg")
+    rows = exploded.select(
+        leg_id(F.col("id"), F.col("position")).alias("leg_id"),
+        F.col("id").alias("flight_id"),
+        F.col("flightNumber").try_cast("int").alias("flight_number"),
+        F.try_to_date("flightScheduleDate", "yyyy-MM-dd").alias("flight_schedule_date"),
+        F.col("airline.code").alias("airline_code"),
+        F.col("airline.name").alias("airline_name"),
+        F.col("position").alias("leg_order"),
+        departure["airport"]["code"].alias("departure_airport_code"),
+        arrival["airport"]["code"].alias("arrival_airport_code"),
+        instant(departure["times"]["scheduled"]).alias("scheduled_departure"),
+        instant(departure["times"]["actual"]).alias("actual_departure"),
+        instant(arrival["times"]["scheduled"]).alias("scheduled_arrival"),
+        instant(arrival["times"]["actual"]).alias("actual_arrival"),
+        departure["times"]["scheduled"].alias("scheduled_departure_text"),
+        arrival["times"]["scheduled"].alias("scheduled_arrival_text"),
+        is_yes(leg["irregularity"]["cancelled"]).alias("cancelled"),
+        leg["aircraft"]["typeCode"].alias("aircraft_type_code"),
+        delay_entries(leg["irregularity"]).alias("entries"),
+        duration_minutes(leg["scheduledFlightDuration"]).alias("scheduled_flight_duration_min"),
+    )
+    minutes = F.transform("entries", lambda e: int_or_zero(e["delayDuration"]))
+    total = {
+        "sum": F.aggregate(minutes, F.lit(0), lambda a, m: a + m),
+        "max": F.array_max(minutes),
+        "first": F.get(minutes, F.lit(0)),
+    }[how]
+    codes = F.filter(F.transform("entries", lambda e: e["delayCode"]), lambda c: c.isNotNull())
+    late = has_entries(F.col("entries"))
+    return rows.withColumns(
+        {
+            "delay_code": F.when(late, F.array_join(F.array_sort(F.array_distinct(codes)), "+")),
+            "delay_duration_minutes": F.when(late, total),
+            "departure_delay_minutes": minutes_between(F.col("actual_departure"), F.col("scheduled_departure")),
+            "arrival_delay_minutes": minutes_between(F.col("actual_arrival"), F.col("scheduled_arrival")),
+        }
+    ).drop("entries")
+
+
 def int_delays_exploded(documents: DataFrame) -> DataFrame:
     """Legs from whole documents at delay grain: one row per code, one row for a leg without any."""
     rest = [

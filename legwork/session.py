@@ -8,9 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "legwork", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+
+
+def build_session(
+    app: str = "legwork", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session in UTC with adaptive execution.
 
+    ``input_bytes``, the size of the largest table read, sets how many shuffle
+    partitions a query starts with; adaptive execution merges small ones.
     Skewed joins are split even where that costs one more shuffle, because a hub
     airport or a busy carrier may hold a large part of all legs.
     """
@@ -24,7 +31,11 @@ def build_session(app: str = "legwork", master: str | None = None, **conf: str)
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-    } | conf
+    }
+    if input_bytes:
+        partitions = max(200, -(-input_bytes // SHUFFLE_BYTES_PER_PARTITION))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
+    settings |= conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

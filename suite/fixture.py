@@ -45,17 +45,10 @@ def _day(date: Column, minutes: Column) -> Column:
 
 def _stamp(date: Column, minutes: Column, offset: Column) -> Column:
     """ISO text of a local time given as minutes after midnight of a date."""
-    clock = F.pmod(minutes, F.lit(1440))
+    moment = F.timestamp_add("MINUTE", minutes, date.cast("timestamp"))
+    sign = F.when(offset < 0, "-").otherwise("+")
     return F.concat(
-        _day(date, minutes).cast("string"),
-        F.lit("T"),
-        _padded(F.floor(clock / 60), 2),
-        F.lit(":"),
-        _padded(clock % 60, 2),
-        F.lit(":00.000"),
-        F.when(offset < 0, "-").otherwise("+"),
-        _padded(F.abs(offset), 2),
-        F.lit(":00"),
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSS"), sign, _padded(F.abs(offset), 2), F.lit(":00")
     )
 
 

@@ -524,3 +524,6 @@ ORACLE: dict[str, str] = {
           from lg group by ok) r on r.ok = fb.ok"""
     ),
 }
+ORACLE["fct_from_documents"] = ORACLE["fct_flight_legs"]
+ORACLE["int_delays_nested"] = ORACLE["int_delays_leg"]
+ORACLE["int_delays_nested_max"] = ORACLE["int_delays_leg_max"]

@@ -13,7 +13,7 @@ from legwork.plans import intermediate, mart, raw
 from legwork.sources import documents as docsource
 from legwork.sources import windows
 from suite.fixture import delay_minutes, flat_legs, leg_versions, table
-from suite.staging import raw_tables, staged
+from suite.staging import landed_mart, raw_tables, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -336,8 +336,14 @@ def _legs_ready(spark: SparkSession, sf: str) -> DataFrame:
     return intermediate.int_legs_ready(_delays_leg(spark, sf), _congestion(spark, sf))
 
 
+def _nested_fact(spark: SparkSession, sf: str) -> DataFrame:
+    legs_ = intermediate.int_delays_nested(_docs(spark, sf))
+    return mart.fct_flight_legs(intermediate.int_legs_ready(legs_, intermediate.int_airport_congestion(legs_)))
+
+
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    return mart.fct_flight_legs(_legs_ready(spark, sf))
+    """The fact as a mart table, which rankings and models read."""
+    return landed_mart(spark, sf, "fct_flight_legs", lambda: _nested_fact(spark, sf))
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -386,7 +392,25 @@ def int_legs_ready(spark, sf):
 
 @query
 def fct_flight_legs(spark, sf):
-    return _plain(_fact(spark, sf))
+    """From the three normalised tables."""
+    return _plain(mart.fct_flight_legs(_legs_ready(spark, sf)))
+
+
+@query
+def fct_from_documents(spark, sf):
+    """The same fact from whole documents, without joining legs to flights and delays."""
+    return _plain(_nested_fact(spark, sf))
+
+
+@query
+def int_delays_nested(spark, sf):
+    return _plain(intermediate.int_delays_nested(_docs(spark, sf)))
+
+
+@query
+def int_delays_nested_max(spark, sf):
+    rows = intermediate.int_delays_nested(_docs(spark, sf), "max")
+    return _plain(rows.select("leg_id", "delay_code", "delay_duration_minutes"))
 
 
 @query

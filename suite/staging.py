@@ -6,6 +6,8 @@ ingest has run before. The folder lies under the shared work folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from legwork.operators.normalize import delays, flights, legs
@@ -15,6 +17,7 @@ from legwork.sources.tables import read_table, replace
 from suite import fixture
 
 _landed: dict[tuple[str, str], str] = {}
+_marts: set[str] = set()
 
 
 def _folder(spark: SparkSession, sf_dir: str) -> str:
@@ -41,3 +44,12 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
         raw.raw_legs(staged(spark, sf_dir, "legs")),
         raw.raw_delays(staged(spark, sf_dir, "delays")),
     )
+
+
+def landed_mart(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A mart table, built and written on its first use."""
+    folder = f"{_folder(spark, sf_dir)}/{name}"
+    if folder not in _marts:
+        replace(build(), folder)
+        _marts.add(folder)
+    return read_table(spark, folder)
