@@ -36,10 +36,10 @@ def stage_schedules(rows: DataFrame) -> DataFrame:
     )
 
 
-def scan_schedules(spark: SparkSession, path: str, ingested_at: str) -> DataFrame:
+def scan_schedules(spark: SparkSession, path: str, ingested_at: str, one_page_per_line: bool = False) -> DataFrame:
     rows = (
         spark.read.schema(SCHEDULE_PAGE)
-        .option("multiLine", True)
+        .option("multiLine", not one_page_per_line)
         .json(path)
         .selectExpr("inline(response)")
         .withColumn("ingested_at", F.lit(ingested_at).cast("timestamp"))
@@ -47,10 +47,10 @@ def scan_schedules(spark: SparkSession, path: str, ingested_at: str) -> DataFram
     return stage_schedules(rows)
 
 
-def scan_airports(spark: SparkSession, path: str, ingested_at: str) -> DataFrame:
+def scan_airports(spark: SparkSession, path: str, ingested_at: str, one_page_per_line: bool = False) -> DataFrame:
     return (
         spark.read.schema(AIRPORT_PAGE)
-        .option("multiLine", True)
+        .option("multiLine", not one_page_per_line)
         .json(path)
         .selectExpr("inline(response)")
         .select(

@@ -10,7 +10,14 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Drop the table and write it again; Spark refuses a plan that reads the same path."""
+    """Drop the table and write it again.
+
+    A plan that reads the same folder is refused, as the overwrite would delete
+    its input first.
+    """
+    folder = path.split(":", 1)[-1].rstrip("/") + "/"
+    if any(folder in name for name in df.inputFiles()):
+        raise ValueError(f"{path} is read by the rows that should replace it")
     df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
 
 

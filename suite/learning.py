@@ -7,12 +7,16 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.operators import features, metrics, neighbours, oversample
+from legwork.operators import features, metrics, neighbours, oversample, quality
 from legwork.plans import learn
 from legwork.session import work_dir
 from legwork.sources.documents import scan_pages
+from legwork.sources.listings import scan_schedules
+from legwork.sources.tables import append, read_table, replace
 from legwork.streaming.ingest import current_tables, start_ingest, stream_documents
+from suite.fixture import flat_legs
 from suite.registry import _docs, _fact, _plain, query
+from suite.staging import staged
 
 _models: dict[tuple[str, str, str], tuple] = {}
 # Divisors that bring whole-number features to a similar range
@@ -227,3 +231,41 @@ def stream_merge(spark, sf):
         F.coalesce("nb_legs", F.lit(0)).alias("nb_legs"),
         F.coalesce("nb_delays", F.lit(0)).alias("nb_delays"),
     )
+
+
+@query
+def schedule_scan(spark, sf):
+    """Schedule listings written as pages and read back with their times parsed."""
+    minute = F.concat(F.substring("scheduled_departure", 1, 10), F.lit(" "), F.substring("scheduled_departure", 12, 5))
+    row = F.struct(
+        F.concat("airline_code", F.col("flight_number").cast("string")).alias("flight_iata"),
+        F.col("departure_airport_code").alias("dep_iata"),
+        F.col("published_status").alias("status"),
+        minute.alias("dep_time"),
+        F.col("quantity").alias("dep_delayed"),
+    )
+    landing = work_dir(spark)
+    flat_legs(spark, sf).select(F.array(row).alias("response")).write.json(f"{landing}/schedules")
+    found = scan_schedules(spark, f"{landing}/schedules", "2026-02-01 00:00:00", one_page_per_line=True)
+    return found.select(
+        "flight_iata",
+        "dep_iata",
+        "arr_iata",
+        "status",
+        F.unix_micros("dep_time").alias("dep_time"),
+        F.col("ingested_at").cast("string").alias("ingested_at"),
+    )
+
+
+@query
+def append_and_replace(spark, sf):
+    """Rows after appending the delays twice, and after replacing them."""
+    delays = staged(spark, sf, "delays")
+    folder = work_dir(spark)
+    append(delays, f"{folder}/appended")
+    append(delays, f"{folder}/appended")
+    replace(delays, f"{folder}/replaced")
+    replace(delays, f"{folder}/replaced")
+    return quality.table_counts(
+        {name: read_table(spark, f"{folder}/{name}", ["id"]) for name in ("appended", "replaced")}
+    )

@@ -527,3 +527,11 @@ ORACLE: dict[str, str] = {
 ORACLE["fct_from_documents"] = ORACLE["fct_flight_legs"]
 ORACLE["int_delays_nested"] = ORACLE["int_delays_leg"]
 ORACLE["int_delays_nested_max"] = ORACLE["int_delays_leg_max"]
+ORACLE["schedule_scan"] = _sql(
+    """select airline_code||cast(flight_number as varchar) flight_iata, dep dep_iata, cast(null as varchar) arr_iata,
+    published_status status, epoch_us(cast(flight_schedule_date as timestamp) + dep_min * interval 1 minute) dep_time,
+    '2026-02-01 00:00:00' ingested_at from lg"""
+)
+ORACLE["append_and_replace"] = _sql(
+    "select 'appended' table_name, 2 * count(*) row_count from de union all select 'replaced', count(*) from de"
+)
