@@ -35,7 +35,7 @@ def zip_short(codes: Column, durations: Column) -> Column:
     )
 
 
-def delay_entries(irregularity: Column) -> Column:
+def delay_entries(irregularity: Column | dict[str, Column]) -> Column:
     """Delays of a leg: the structured list if it has entries, else the parallel lists."""
     structured = irregularity["delayInformation"]
     return F.when(

@@ -14,7 +14,9 @@ def _movements(legs: DataFrame, airport: str, day: Column, leg_key: str) -> Data
 
 def _count_legs(movements: DataFrame, keys: list[str], unique: bool, name: str) -> DataFrame:
     """Legs per key. Repeated leg ids are removed in a first, partially combined pass."""
-    legs = movements if unique else movements.groupBy(*keys, "leg_key").agg(F.count(F.lit(1)).alias("_copies"))
+    if unique:
+        return movements.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    legs = movements.groupBy(*keys, "leg_key").agg(F.count(F.lit(1)).alias("_copies"))
     return legs.groupBy(*keys).agg(F.count("leg_key").alias(name))
 
 
@@ -47,7 +49,8 @@ def airport_congestion(legs: DataFrame, how: str = "full", unique: bool = False)
 
     ``full`` keeps days with one direction only and counts the other as 0;
     ``inner`` drops them. Both directions are counted in one grouped pass, so
-    no join is needed and hub airports are combined before the shuffle.
+    no join is needed and hub airports are combined before the shuffle. ``unique``
+    counts rows, for legs that were already merged by key.
     """
     if how not in ("full", "inner"):
         raise ValueError(f"unknown how {how!r}")
@@ -63,13 +66,17 @@ def airport_congestion(legs: DataFrame, how: str = "full", unique: bool = False)
             F.lit(False).alias("departing"),
         ),
     )
-    rows = legs.select("leg_id", F.explode(sides).alias("side")).select("leg_id", "side.*")
     keys = ["airport_code", "movement_date"]
-    if not unique:
+    if unique:
+        rows = legs.select(F.explode(sides).alias("side")).select("side.*")
+        leg = F.lit(1)
+    else:
+        rows = legs.select("leg_id", F.explode(sides).alias("side")).select("leg_id", "side.*")
         rows = rows.groupBy(*keys, "departing", "leg_id").agg(F.count(F.lit(1)).alias("_copies"))
+        leg = F.col("leg_id")
     counted = rows.groupBy(*keys).agg(
-        F.count(F.when(F.col("departing"), F.col("leg_id"))).alias("nb_departing"),
-        F.count(F.when(~F.col("departing"), F.col("leg_id"))).alias("nb_arriving"),
+        F.count(F.when(F.col("departing"), leg)).alias("nb_departing"),
+        F.count(F.when(~F.col("departing"), leg)).alias("nb_arriving"),
         F.max("departing").alias("_any_departing"),
         F.min("departing").alias("_all_departing"),
     )

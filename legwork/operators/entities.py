@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from legwork.functions.keys import pair_key, plus_key
 from legwork.functions.values import first_or
-from legwork.operators.normalize import explode_child, field_or_null
+from legwork.operators.normalize import explode_child, field_or_null, leg_fields
 
 # ---- Fixed values: source path and column name of each entity ----
 
@@ -135,13 +135,6 @@ RELATION_KINDS = ["previous", "equivalent", "onward"]
 # ---- End of the fixed values ----
 
 
-def _pick(df: DataFrame, prefix: str, fields: list[tuple[str, str]]) -> list[Column]:
-    kind = {"latitude": "double", "longitude": "double"}
-    return [
-        field_or_null(df, f"{prefix}.{path}", kind.get(name, "string")).alias(name) for path, name in fields
-    ]
-
-
 def _flight_key(airline_code: str, number: str) -> Column:
     return plus_key(F.col(airline_code), F.col(number).cast("string"))
 
@@ -229,86 +222,90 @@ def flight_relations(docs: DataFrame) -> DataFrame:
     )
 
 
-def prepared_legs(docs: DataFrame) -> DataFrame:
-    """Exploded legs with their key; legs without a full key are dropped."""
-    exploded = explode_child(docs, "flightLegs", [F.col("id").alias("scheduledFlightId")], "leg")
-    key = plus_key(
-        F.col("scheduledFlightId"),
-        F.col("leg.departureInformation.airport.code"),
-        F.col("leg.arrivalInformation.airport.code"),
-    )
-    first = F.struct(
-        *[
-            first_or(field_or_null(exploded, f"leg.irregularity.{name}", "array<string>"), default).alias(name)
-            for name, default in FIRST_ENTRY_DEFAULTS.items()
-        ]
-    )
-    return exploded.select(key.alias("flightLegId"), "scheduledFlightId", "leg", first.alias("first")).where(
-        F.col("flightLegId").isNotNull()
-    )
+def prepared_legs(docs: DataFrame, paths: dict[str, str], kinds: dict[str, str] | None = None) -> DataFrame:
+    """Legs with their key and the chosen leaves; legs without a full key are dropped."""
+    codes = {"_departure": "departureInformation.airport.code", "_arrival": "arrivalInformation.airport.code"}
+    rows = leg_fields(docs, codes | paths, {"scheduledFlightId": F.col("id")}, kinds)
+    key = plus_key(F.col("scheduledFlightId"), F.col("_departure"), F.col("_arrival"))
+    return rows.select(key.alias("flightLegId"), "scheduledFlightId", *paths).where(F.col("flightLegId").isNotNull())
 
 
-def flight_legs(prepared: DataFrame) -> DataFrame:
+def _below(prefix: str, fields: list[tuple[str, str]]) -> dict[str, str]:
+    return {name: f"{prefix}.{path}" for path, name in fields}
+
+
+def flight_legs(docs: DataFrame) -> DataFrame:
     """The wide leg table, 68 columns."""
-    return prepared.select(
-        "flightLegId",
-        "scheduledFlightId",
-        *_pick(prepared, "leg", LEG_FIELDS),
-        *_pick(prepared, "leg.departureInformation", DEPARTURE_FIELDS),
-        *_pick(prepared, "leg.arrivalInformation", ARRIVAL_FIELDS),
-    )
+    paths = {name: path for path, name in LEG_FIELDS}
+    departure, arrival = _below("departureInformation", DEPARTURE_FIELDS), _below("arrivalInformation", ARRIVAL_FIELDS)
+    return prepared_legs(docs, paths | departure | arrival)
 
 
-def _both_ends(prepared: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
+def _both_ends(docs: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """Distinct rows over the departure and arrival side, from one pass over the legs."""
-    ends = F.array(
-        F.struct(*_pick(prepared, "leg.departureInformation", fields)),
-        F.struct(*_pick(prepared, "leg.arrivalInformation", fields)),
-    )
-    return prepared.select(F.explode(ends).alias("end")).select("end.*").distinct()
+    sides = ("departureInformation", "arrivalInformation")
+    paths = {f"{side}_{name}": f"{side}.{path}" for side in sides for path, name in fields}
+    coordinates = {f"{side}_{name}": "double" for side in sides for name in ("latitude", "longitude")}
+    ends = F.array(*[F.struct(*[F.col(f"{side}_{name}").alias(name) for _, name in fields]) for side in sides])
+    return prepared_legs(docs, paths, coordinates).select(F.explode(ends).alias("end")).select("end.*").distinct()
 
 
-def airports(prepared: DataFrame) -> DataFrame:
-    return _both_ends(prepared, AIRPORT_FIELDS)
+def airports(docs: DataFrame) -> DataFrame:
+    return _both_ends(docs, AIRPORT_FIELDS)
 
 
-def cities(prepared: DataFrame) -> DataFrame:
-    return _both_ends(prepared, CITY_FIELDS)
+def cities(docs: DataFrame) -> DataFrame:
+    return _both_ends(docs, CITY_FIELDS)
 
 
-def countries(prepared: DataFrame) -> DataFrame:
-    return _both_ends(prepared, COUNTRY_FIELDS)
+def countries(docs: DataFrame) -> DataFrame:
+    return _both_ends(docs, COUNTRY_FIELDS)
 
 
-def aircraft(prepared: DataFrame) -> DataFrame:
-    return prepared.select(*_pick(prepared, "leg.aircraft", AIRCRAFT_FIELDS)).distinct()
+def aircraft(docs: DataFrame) -> DataFrame:
+    return prepared_legs(docs, _below("aircraft", AIRCRAFT_FIELDS)).drop("flightLegId", "scheduledFlightId").distinct()
 
 
-def irregularities(prepared: DataFrame) -> DataFrame:
-    return prepared.select(
-        "flightLegId",
-        F.col("leg.irregularity.cancelled").alias("cancelled"),
-        F.col("leg.irregularity.cancellationReasonCodePublic").alias("cancellationReasonCode"),
-        F.col("first.delayCode").alias("delayCode"),
-        F.col("first.delayDuration").alias("delayDuration"),
-    ).distinct()
+def _first_entries(docs: DataFrame, names: list[str], others: dict[str, str] | None = None) -> DataFrame:
+    """Legs with the first entry of each named list, or its default."""
+    paths = {name: f"irregularity.{name}" for name in names}
+    rows = prepared_legs(docs, paths | (others or {}), {name: "array<string>" for name in names})
+    return rows.withColumns({name: first_or(F.col(name), FIRST_ENTRY_DEFAULTS[name]) for name in names})
 
 
-def delay_codes(prepared: DataFrame) -> DataFrame:
-    return prepared.select(
-        F.col("first.delayCode").alias("delayCode"), F.col("first.delayReasonCodePublic").alias("delayReasonCode")
-    ).distinct()
+def irregularities(docs: DataFrame) -> DataFrame:
+    others = {
+        "cancelled": "irregularity.cancelled",
+        "cancellationReasonCode": "irregularity.cancellationReasonCodePublic",
+    }
+    return (
+        _first_entries(docs, ["delayCode", "delayDuration"], others)
+        .select("flightLegId", *others, "delayCode", "delayDuration")
+        .distinct()
+    )
 
 
-def delay_reasons(prepared: DataFrame) -> DataFrame:
-    return prepared.select(
-        F.col("first.delayReasonCodePublic").alias("delayReasonCode"),
-        F.col("first.delayReasonPublicLangTransl").alias("delayReason"),
-    ).distinct()
+def delay_codes(docs: DataFrame) -> DataFrame:
+    return (
+        _first_entries(docs, ["delayCode", "delayReasonCodePublic"])
+        .select("delayCode", F.col("delayReasonCodePublic").alias("delayReasonCode"))
+        .distinct()
+    )
+
+
+def delay_reasons(docs: DataFrame) -> DataFrame:
+    return (
+        _first_entries(docs, ["delayReasonCodePublic", "delayReasonPublicLangTransl"])
+        .select(
+            F.col("delayReasonCodePublic").alias("delayReasonCode"),
+            F.col("delayReasonPublicLangTransl").alias("delayReason"),
+        )
+        .distinct()
+    )
 
 
-def cancel_reasons(prepared: DataFrame) -> DataFrame:
-    return prepared.select(*_pick(prepared, "leg.irregularity", CANCEL_FIELDS)).distinct()
+def cancel_reasons(docs: DataFrame) -> DataFrame:
+    return prepared_legs(docs, _below("irregularity", CANCEL_FIELDS)).drop("flightLegId", "scheduledFlightId").distinct()
 
 
 def legs_with_irregularity(legs: DataFrame, irregularity: DataFrame) -> DataFrame:
@@ -349,7 +346,6 @@ def related_flights(relations: DataFrame, flights: DataFrame) -> DataFrame:
 
 def all_entities(docs: DataFrame) -> dict[str, DataFrame]:
     """Every table of the model by name."""
-    prepared = prepared_legs(docs)
     flights = reduce(DataFrame.unionByName, [operating_flights(docs), code_share_flights(docs)])
     return {
         "scheduledFlight": scheduled_flights(docs),
@@ -357,13 +353,13 @@ def all_entities(docs: DataFrame) -> dict[str, DataFrame]:
         "airline": airlines(docs),
         "codeShareRelation": code_share_relations(docs),
         "flightRelation": flight_relations(docs),
-        "flightLeg": flight_legs(prepared),
-        "airport": airports(prepared),
-        "city": cities(prepared),
-        "country": countries(prepared),
-        "aircraft": aircraft(prepared),
-        "irregularity": irregularities(prepared),
-        "delay": delay_codes(prepared),
-        "delayReason": delay_reasons(prepared),
-        "cancelReason": cancel_reasons(prepared),
+        "flightLeg": flight_legs(docs),
+        "airport": airports(docs),
+        "city": cities(docs),
+        "country": countries(docs),
+        "aircraft": aircraft(docs),
+        "irregularity": irregularities(docs),
+        "delay": delay_codes(docs),
+        "delayReason": delay_reasons(docs),
+        "cancelReason": cancel_reasons(docs),
     }

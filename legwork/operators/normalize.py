@@ -52,6 +52,25 @@ def explode_child(df: DataFrame, array: str, keep: list[str], name: str = "item"
     return df.select(*keep, F.posexplode(array).alias("position", name))
 
 
+def leg_fields(docs: DataFrame, paths: dict[str, str], keep: dict[str, Column], kinds: dict[str, str] | None = None) -> DataFrame:
+    """One row per leg with its position and the chosen leaves of the leg.
+
+    ``paths`` maps column names to paths inside a leg, and ``keep`` names columns
+    of the document. Each leaf is taken out of the leg array before the array is
+    exploded, as only then does a parquet scan read just these leaves. A path
+    that the input lacks gives nulls of the type in ``kinds``, else strings.
+    """
+    leg = docs.schema["flightLegs"].dataType.elementType
+    found = [name for name, path in paths.items() if path_type(leg, path) is not None]
+    leaves = [F.col(f"flightLegs.{paths[name]}").alias(f"leaf{i}") for i, name in enumerate(found)]
+    parts = docs.select(*[column.alias(name) for name, column in keep.items()], *leaves)
+    zipped = F.arrays_zip(*[f"leaf{i}" for i in range(len(found))])
+    exploded = parts.select(*keep, F.posexplode(zipped).alias("position", "leg"))
+    columns = {name: F.col(f"leg.leaf{i}") for i, name in enumerate(found)}
+    nulls = {name: F.lit(None).cast((kinds or {}).get(name, "string")) for name in paths if name not in columns}
+    return exploded.select(*keep, "position", *[(columns | nulls)[name].alias(name) for name in paths])
+
+
 def flights(docs: DataFrame) -> DataFrame:
     return docs.select(
         "id",
@@ -67,23 +86,44 @@ def flights(docs: DataFrame) -> DataFrame:
     )
 
 
+# Column of the leg table and its path inside a leg
+LEG_PATHS = {
+    "departure_airport_code": "departureInformation.airport.code",
+    "arrival_airport_code": "arrivalInformation.airport.code",
+    "published_status": "publishedStatus",
+    "scheduled_departure": "departureInformation.times.scheduled",
+    "actual_departure": "departureInformation.times.actual",
+    "scheduled_arrival": "arrivalInformation.times.scheduled",
+    "actual_arrival": "arrivalInformation.times.actual",
+    "scheduled_flight_duration": "scheduledFlightDuration",
+    "cancelled": "irregularity.cancelled",
+    "aircraft_type_code": "aircraft.typeCode",
+}
+DELAY_PATHS = {
+    "delayInformation": "irregularity.delayInformation",
+    "delayCode": "irregularity.delayCode",
+    "delayDuration": "irregularity.delayDuration",
+}
+DELAY_KINDS = {
+    "delayInformation": "array<struct<delayCode:string,delayDuration:string>>",
+    "delayCode": "array<string>",
+    "delayDuration": "array<string>",
+}
+
+
+def entries_of_row() -> Column:
+    """Delay entries from the columns of ``DELAY_PATHS``."""
+    return delay_entries({name: F.col(name) for name in DELAY_PATHS})
+
+
 def legs(docs: DataFrame) -> DataFrame:
     """One row per leg; a flight whose leg list is empty or null gives none."""
-    exploded = explode_child(docs, "flightLegs", [F.col("id").alias("flight_id")], "leg")
-    return exploded.select(
+    rows = leg_fields(docs, LEG_PATHS, {"flight_id": F.col("id")})
+    return rows.select(
         leg_id(F.col("flight_id"), F.col("position")).alias("id"),
         "flight_id",
         F.col("position").alias("leg_order"),
-        F.col("leg.departureInformation.airport.code").alias("departure_airport_code"),
-        F.col("leg.arrivalInformation.airport.code").alias("arrival_airport_code"),
-        F.col("leg.publishedStatus").alias("published_status"),
-        F.col("leg.departureInformation.times.scheduled").alias("scheduled_departure"),
-        F.col("leg.departureInformation.times.actual").alias("actual_departure"),
-        F.col("leg.arrivalInformation.times.scheduled").alias("scheduled_arrival"),
-        F.col("leg.arrivalInformation.times.actual").alias("actual_arrival"),
-        F.col("leg.scheduledFlightDuration").alias("scheduled_flight_duration"),
-        is_yes(F.col("leg.irregularity.cancelled")).alias("cancelled"),
-        F.col("leg.aircraft.typeCode").alias("aircraft_type_code"),
+        *[is_yes(F.col(name)).alias(name) if name == "cancelled" else F.col(name) for name in LEG_PATHS],
     )
 
 
@@ -92,10 +132,8 @@ def delays(docs: DataFrame, linked: bool = False, positioned: bool = False) -> D
 
     ``linked`` also keeps the flight id, and ``positioned`` the place of the code in its leg.
     """
-    exploded = explode_child(docs, "flightLegs", [F.col("id").alias("flight_id")], "leg")
-    entries = exploded.select(
-        "flight_id", "position", F.posexplode(delay_entries(F.col("leg.irregularity"))).alias("delay_order", "entry")
-    )
+    rows = leg_fields(docs, DELAY_PATHS, {"flight_id": F.col("id")}, DELAY_KINDS)
+    entries = rows.select("flight_id", "position", F.posexplode(entries_of_row()).alias("delay_order", "entry"))
     return entries.select(
         delay_id(F.col("flight_id"), F.col("position"), F.col("delay_order")).alias("id"),
         leg_id(F.col("flight_id"), F.col("position")).alias("flight_leg_id"),

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from legwork.functions.calendar import instant, local_date, local_hour, weekday
 from legwork.functions.durations import duration_minutes, minutes_between
 from legwork.functions.keys import leg_id
-from legwork.functions.values import delay_entries, has_entries, int_or_zero, is_delayed, is_yes
+from legwork.functions.values import has_entries, int_or_zero, is_delayed, is_yes
 from legwork.operators.congestion import airport_congestion, attach_congestion
-from legwork.operators.normalize import explode_child
+from legwork.operators.normalize import DELAY_KINDS, DELAY_PATHS, LEG_PATHS, entries_of_row, leg_fields
+from legwork.plans.raw import LEG_TIMES
 
 
 def delays_per_leg(delays: DataFrame, how: str = "sum") -> DataFrame:
@@ -80,29 +81,27 @@ def int_delays_nested(documents: DataFrame, how: str = "sum") -> DataFrame:
     A document holds its flight, legs and delays together, so this needs no join
     and no shuffle.
     """
-    leg = F.col("leg")
-    departure, arrival = leg["departureInformation"], leg["arrivalInformation"]
-    exploded = explode_child(documents, "flightLegs", ["id", "flightNumber", "flightScheduleDate", "airline"], "leg")
-    rows = exploded.select(
-        leg_id(F.col("id"), F.col("position")).alias("leg_id"),
-        F.col("id").alias("flight_id"),
-        F.col("flightNumber").try_cast("int").alias("flight_number"),
-        F.try_to_date("flightScheduleDate", "yyyy-MM-dd").alias("flight_schedule_date"),
-        F.col("airline.code").alias("airline_code"),
-        F.col("airline.name").alias("airline_name"),
+    flight = {
+        "flight_id": F.col("id"),
+        "flight_number": F.col("flightNumber").try_cast("int"),
+        "flight_schedule_date": F.try_to_date("flightScheduleDate", "yyyy-MM-dd"),
+        "airline_code": F.col("airline.code"),
+        "airline_name": F.col("airline.name"),
+    }
+    paths = {name: path for name, path in LEG_PATHS.items() if name != "published_status"}
+    rows = leg_fields(documents, paths | DELAY_PATHS, flight, DELAY_KINDS).select(
+        leg_id(F.col("flight_id"), F.col("position")).alias("leg_id"),
+        *flight,
         F.col("position").alias("leg_order"),
-        departure["airport"]["code"].alias("departure_airport_code"),
-        arrival["airport"]["code"].alias("arrival_airport_code"),
-        instant(departure["times"]["scheduled"]).alias("scheduled_departure"),
-        instant(departure["times"]["actual"]).alias("actual_departure"),
-        instant(arrival["times"]["scheduled"]).alias("scheduled_arrival"),
-        instant(arrival["times"]["actual"]).alias("actual_arrival"),
-        departure["times"]["scheduled"].alias("scheduled_departure_text"),
-        arrival["times"]["scheduled"].alias("scheduled_arrival_text"),
-        is_yes(leg["irregularity"]["cancelled"]).alias("cancelled"),
-        leg["aircraft"]["typeCode"].alias("aircraft_type_code"),
-        delay_entries(leg["irregularity"]).alias("entries"),
-        duration_minutes(leg["scheduledFlightDuration"]).alias("scheduled_flight_duration_min"),
+        "departure_airport_code",
+        "arrival_airport_code",
+        *[instant(F.col(name)).alias(name) for name in LEG_TIMES],
+        F.col("scheduled_departure").alias("scheduled_departure_text"),
+        F.col("scheduled_arrival").alias("scheduled_arrival_text"),
+        is_yes(F.col("cancelled")).alias("cancelled"),
+        "aircraft_type_code",
+        entries_of_row().alias("entries"),
+        duration_minutes(F.col("scheduled_flight_duration")).alias("scheduled_flight_duration_min"),
     )
     minutes = F.transform("entries", lambda e: int_or_zero(e["delayDuration"]))
     total = {
@@ -122,6 +121,18 @@ def int_delays_nested(documents: DataFrame, how: str = "sum") -> DataFrame:
     ).drop("entries")
 
 
+def document_movements(documents: DataFrame) -> DataFrame:
+    """Only what congestion counts, so that its scan reads three leaves of each leg."""
+    paths = {
+        "departure_airport_code": "departureInformation.airport.code",
+        "arrival_airport_code": "arrivalInformation.airport.code",
+        "scheduled_arrival_text": "arrivalInformation.times.scheduled",
+    }
+    return leg_fields(
+        documents, paths, {"flight_schedule_date": F.try_to_date("flightScheduleDate", "yyyy-MM-dd")}
+    ).drop("position")
+
+
 def int_delays_exploded(documents: DataFrame) -> DataFrame:
     """Legs from whole documents at delay grain: one row per code, one row for a leg without any."""
     rest = [

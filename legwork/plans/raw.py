@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legwork.functions.calendar import instant
-from legwork.functions.values import delay_entries
-from legwork.operators.normalize import explode_child
+from legwork.operators.normalize import DELAY_KINDS, DELAY_PATHS, LEG_PATHS, entries_of_row, leg_fields
 
 LEG_TIMES = ["scheduled_departure", "actual_departure", "scheduled_arrival", "actual_arrival"]
 
@@ -57,28 +56,27 @@ def raw_delays(delays: DataFrame) -> DataFrame:
 
 def raw_documents(docs: DataFrame) -> DataFrame:
     """Legs straight from whole documents, with their delay entries as an array."""
-    keep = ["id", "flightNumber", "flightScheduleDate", "haul", "route", "airline", "flightStatusPublic", "fetched_at"]
-    leg = F.col("leg")
-    departure, arrival = leg["departureInformation"], leg["arrivalInformation"]
-    return explode_child(docs, "flightLegs", keep, "leg").select(
-        F.col("id").alias("flight_id"),
-        F.col("flightNumber").try_cast("int").alias("flight_number"),
-        F.try_to_date("flightScheduleDate", "yyyy-MM-dd").alias("flight_schedule_date"),
-        "haul",
-        "route",
-        F.col("airline.code").alias("airline_code"),
-        F.col("airline.name").alias("airline_name"),
-        F.col("flightStatusPublic").alias("flight_status_public"),
+    flight = {
+        "flight_id": F.col("id"),
+        "flight_number": F.col("flightNumber").try_cast("int"),
+        "flight_schedule_date": F.try_to_date("flightScheduleDate", "yyyy-MM-dd"),
+        "haul": F.col("haul"),
+        "route": F.col("route"),
+        "airline_code": F.col("airline.code"),
+        "airline_name": F.col("airline.name"),
+        "flight_status_public": F.col("flightStatusPublic"),
+        "fetched_at": F.col("fetched_at"),
+    }
+    rows = leg_fields(docs, LEG_PATHS | DELAY_PATHS, flight, DELAY_KINDS)
+    return rows.select(
+        *[name for name in flight if name != "fetched_at"],
         F.col("position").alias("leg_order"),
-        departure["airport"]["code"].alias("departure_airport_code"),
-        arrival["airport"]["code"].alias("arrival_airport_code"),
-        leg["publishedStatus"].alias("leg_status"),
-        instant(departure["times"]["scheduled"]).alias("scheduled_departure"),
-        instant(departure["times"]["actual"]).alias("actual_departure"),
-        instant(arrival["times"]["scheduled"]).alias("scheduled_arrival"),
-        instant(arrival["times"]["actual"]).alias("actual_arrival"),
-        leg["scheduledFlightDuration"].alias("scheduled_flight_duration"),
-        (leg["irregularity"]["cancelled"] == "Y").alias("cancelled"),
-        delay_entries(leg["irregularity"]).alias("delay_info"),
+        "departure_airport_code",
+        "arrival_airport_code",
+        F.col("published_status").alias("leg_status"),
+        *[instant(F.col(name)).alias(name) for name in LEG_TIMES],
+        "scheduled_flight_duration",
+        (F.col("cancelled") == "Y").alias("cancelled"),
+        entries_of_row().alias("delay_info"),
         "fetched_at",
     )

@@ -297,9 +297,9 @@ def describe_delay(spark, sf):
 
 @query
 def join_guard(spark, sf):
-    prepared = entities.prepared_legs(_docs(spark, sf))
-    before = entities.flight_legs(prepared)
-    return quality.join_growth(before, entities.legs_with_irregularity(before, entities.irregularities(prepared)))
+    docs = _docs(spark, sf)
+    before = entities.flight_legs(docs)
+    return quality.join_growth(before, entities.legs_with_irregularity(before, entities.irregularities(docs)))
 
 
 # ---- congestion and layered models ----
@@ -337,8 +337,9 @@ def _legs_ready(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _nested_fact(spark: SparkSession, sf: str) -> DataFrame:
-    legs_ = intermediate.int_delays_nested(_docs(spark, sf))
-    return mart.fct_flight_legs(intermediate.int_legs_ready(legs_, intermediate.int_airport_congestion(legs_)))
+    docs = _docs(spark, sf)
+    counted = intermediate.int_airport_congestion(intermediate.document_movements(docs))
+    return mart.fct_flight_legs(intermediate.int_legs_ready(intermediate.int_delays_nested(docs), counted))
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -493,11 +494,11 @@ def entity_airline(spark, sf):
 
 @query
 def entity_flight_leg(spark, sf):
-    return entities.flight_legs(entities.prepared_legs(_docs(spark, sf)))
+    return entities.flight_legs(_docs(spark, sf))
 
 
 def _entity(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[f"entity_{name}"] = lambda spark, sf: build(entities.prepared_legs(_docs(spark, sf)))
+    QUERIES[f"entity_{name}"] = lambda spark, sf: build(_docs(spark, sf))
 
 
 _entity("airport", entities.airports)
@@ -512,26 +513,21 @@ _entity("cancel_reason", entities.cancel_reasons)
 
 @query
 def legs_irregularity(spark, sf):
-    prepared = entities.prepared_legs(_docs(spark, sf))
-    joined = entities.legs_with_irregularity(entities.flight_legs(prepared), entities.irregularities(prepared))
+    docs = _docs(spark, sf)
+    joined = entities.legs_with_irregularity(entities.flight_legs(docs), entities.irregularities(docs))
     return joined.select("flightLegId", "scheduledFlightId", "scheduledFlightDuration", "delayDuration")
 
 
 @query
 def airport_geography(spark, sf):
-    prepared = entities.prepared_legs(_docs(spark, sf))
-    return entities.airport_geography(
-        entities.airports(prepared), entities.cities(prepared), entities.countries(prepared)
-    )
+    docs = _docs(spark, sf)
+    return entities.airport_geography(entities.airports(docs), entities.cities(docs), entities.countries(docs))
 
 
 @query
 def leg_aircraft_owner(spark, sf):
     docs = _docs(spark, sf)
-    prepared = entities.prepared_legs(docs)
-    return entities.leg_aircraft_owner(
-        entities.flight_legs(prepared), entities.aircraft(prepared), entities.airlines(docs)
-    )
+    return entities.leg_aircraft_owner(entities.flight_legs(docs), entities.aircraft(docs), entities.airlines(docs))
 
 
 # ---- rankings and search ----
@@ -608,9 +604,9 @@ def duration_minutes(spark, sf):
 
 @query
 def signed_duration(spark, sf):
-    prepared = entities.prepared_legs(_docs(spark, sf))
-    difference = F.col("leg.departureDateTimeDifference")
-    return prepared.select(
+    legs_ = entities.prepared_legs(_docs(spark, sf), {"difference": "departureDateTimeDifference"})
+    difference = F.col("difference")
+    return legs_.select(
         "flightLegId",
         difference.alias("difference"),
         durations.signed_minutes(difference).alias("minutes"),
@@ -644,15 +640,14 @@ def local_calendar(spark, sf):
 
 @query
 def list_rules(spark, sf):
-    prepared = entities.prepared_legs(_docs(spark, sf))
-    irregularity = F.col("leg.irregularity")
-    return prepared.select(
+    paths = {name: f"irregularity.{name}" for name in ("delayCode", "delayDuration", "cancelled")}
+    first_duration = values.first_or(F.col("delayDuration"), "00")
+    pairs = values.zip_short(F.col("delayCode"), F.col("delayDuration"))
+    return entities.prepared_legs(_docs(spark, sf), paths).select(
         "flightLegId",
-        F.col("first.delayCode").alias("first_code"),
-        F.col("first.delayDuration").alias("first_duration"),
-        values.int_or_zero(F.col("first.delayDuration")).alias("first_minutes"),
-        F.coalesce(F.size(values.zip_short(irregularity["delayCode"], irregularity["delayDuration"])), F.lit(0)).alias(
-            "nb_pairs"
-        ),
-        values.is_yes(irregularity["cancelled"]).alias("cancelled"),
+        values.first_or(F.col("delayCode"), "").alias("first_code"),
+        first_duration.alias("first_duration"),
+        values.int_or_zero(first_duration).alias("first_minutes"),
+        F.coalesce(F.size(pairs), F.lit(0)).alias("nb_pairs"),
+        values.is_yes(F.col("cancelled")).alias("cancelled"),
     )
