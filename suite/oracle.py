@@ -519,7 +519,7 @@ ORACLE: dict[str, str] = {
     "stream_merge": _sql(
         """select flight_id id, case when flight_number % 2 = 0 then 'UPDATED' else flight_status_public end flight_status_public,
         case when flight_number % 2 = 0 then '2026-02-02 00:00:00' else '2026-02-01 00:00:00' end fetched_at,
-        coalesce(n, 0) nb_legs, case when flight_number % 2 = 0 then 0 else coalesce(k, 0) end nb_delays
+        coalesce(n, 0) nb_legs, cast(case when flight_number % 2 = 0 then 0 else coalesce(k, 0) end as bigint) nb_delays
         from fb left join (select ok, count(*) n, sum(case when late1 then 1 else 0 end + case when late2 then 1 else 0 end) k
           from lg group by ok) r on r.ok = fb.ok"""
     ),
