@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legwork.functions.values import int_or_zero
@@ -163,8 +163,9 @@ def stratified_split(
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: n / (classes * n of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count(F.lit(1))).scalar()
-    return counts.select(label, "n", (total / (classes * F.col("n"))).alias("weight"))
+    every_class = Window.partitionBy()  # one row per class
+    balanced = F.sum("n").over(every_class) / (F.count(F.lit(1)).over(every_class) * F.col("n"))
+    return counts.select(label, "n", balanced.alias("weight"))
 
 
 def add_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:

@@ -15,7 +15,7 @@ from legwork.sources.listings import scan_schedules
 from legwork.sources.tables import append, read_table, replace
 from legwork.streaming.ingest import current_tables, start_ingest, stream_documents
 from suite.fixture import flat_legs
-from suite.registry import _docs, _fact, _plain, query
+from suite.registry import _docs, _plain, mart_fact, query
 from suite.staging import staged
 
 _models: dict[tuple[str, str, str], tuple] = {}
@@ -28,12 +28,12 @@ VECTOR = {"scheduled_flight_duration_min": 600, "departure_weekday": 6, "departu
 
 @query
 def dummies(spark, sf):
-    return features.dummies(_fact(spark, sf).select("leg_id", "aircraft_type_code"), "aircraft_type_code")
+    return features.dummies(mart_fact(spark, sf).select("leg_id", "aircraft_type_code"), "aircraft_type_code")
 
 
 @query
 def one_hot(spark, sf):
-    return features.one_hot(_fact(spark, sf).select("leg_id", "aircraft_type_code"), "aircraft_type_code")
+    return features.one_hot(mart_fact(spark, sf).select("leg_id", "aircraft_type_code"), "aircraft_type_code")
 
 
 SCALED = ["scheduled_flight_duration_min", "departure_month", "dep_airport_nb_departing"]
@@ -41,38 +41,38 @@ SCALED = ["scheduled_flight_duration_min", "departure_month", "dep_airport_nb_de
 
 @query
 def minmax(spark, sf):
-    rows = _fact(spark, sf).select("leg_id", *SCALED)
+    rows = mart_fact(spark, sf).select("leg_id", *SCALED)
     return _plain(features.fit_min_max(rows, SCALED).apply(rows))
 
 
 @query
 def standard(spark, sf):
-    rows = _fact(spark, sf).select("leg_id", *SCALED)
+    rows = mart_fact(spark, sf).select("leg_id", *SCALED)
     return _plain(features.fit_standard(rows, SCALED).apply(rows))
 
 
 @query
 def numeric_features(spark, sf):
     """Prepared features; a column that the input lacks is filled with 0."""
-    rows = _fact(spark, sf).drop("departure_month")
+    rows = mart_fact(spark, sf).drop("departure_month")
     return features.prepare_numeric(rows).select("leg_id", *features.NUMERIC_FEATURES)
 
 
 @query
 def anova_topk(spark, sf):
-    rows = features.prepare_numeric(_fact(spark, sf))
+    rows = features.prepare_numeric(mart_fact(spark, sf))
     best = features.best_features(rows, features.NUMERIC_FEATURES, "is_delayed", 5)
     return best.select("feature", F.round("f_value", 4).alias("f_value"))
 
 
 @query
 def class_weight(spark, sf):
-    return _plain(features.class_weights(_fact(spark, sf), "is_delayed"))
+    return _plain(features.class_weights(mart_fact(spark, sf), "is_delayed"))
 
 
 @query
 def stratified_split(spark, sf):
-    split = features.stratified_split(_fact(spark, sf), "is_delayed", "leg_id", Fraction(1, 5), 42)
+    split = features.stratified_split(mart_fact(spark, sf), "is_delayed", "leg_id", Fraction(1, 5), 42)
     return split.groupBy("is_delayed").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_train")).alias("nb_test")
     )
@@ -83,7 +83,7 @@ def stratified_split(spark, sf):
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     late = F.coalesce(F.col("departure_delay_minutes"), F.lit(0.0))
-    return _fact(spark, sf).select(
+    return mart_fact(spark, sf).select(
         F.col("is_delayed").cast("int").alias("label"),
         (late * 1000 + F.col("scheduled_flight_duration_min")).alias("score"),
         (late >= 15).cast("int").alias("prediction"),
@@ -105,7 +105,7 @@ def roc_auc(spark, sf):
 
 def _minority(spark: SparkSession, sf: str) -> DataFrame:
     vector = F.array(*[F.col(c).cast("double") / F.lit(float(d)) for c, d in VECTOR.items()])
-    return _fact(spark, sf).where("is_delayed").select("leg_id", vector.alias("vec"))
+    return mart_fact(spark, sf).where("is_delayed").select("leg_id", vector.alias("vec"))
 
 
 @query
@@ -120,7 +120,7 @@ def smote_neighbours(spark, sf):
 @query
 def smote_balanced(spark, sf):
     vector = F.array(*[F.col(c).cast("double") / F.lit(float(d)) for c, d in VECTOR.items()])
-    rows = _fact(spark, sf).select("leg_id", vector.alias("vec"), F.col("is_delayed").cast("int").alias("label"))
+    rows = mart_fact(spark, sf).select("leg_id", vector.alias("vec"), F.col("is_delayed").cast("int").alias("label"))
     balanced = oversample.balance_classes(rows, "leg_id", "vec", "label")
     return balanced.groupBy("label").agg(
         F.count(F.lit(1)).alias("nb_rows"), F.count_if("is_synthetic").alias("nb_synthetic")
@@ -134,7 +134,7 @@ def _trained(spark: SparkSession, sf: str, kind: str) -> tuple[learn.DelayModel,
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _models:
         settings = learn.Settings() if kind == "forest" else learn.Settings(trees=20, depth=5, oversample=False)
-        _models[key] = learn.train(learn.training_rows(_fact(spark, sf)), settings, kind)
+        _models[key] = learn.train(learn.training_rows(mart_fact(spark, sf)), settings, kind)
     return _models[key]
 
 

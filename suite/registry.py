@@ -342,7 +342,7 @@ def _nested_fact(spark: SparkSession, sf: str) -> DataFrame:
     return mart.fct_flight_legs(intermediate.int_legs_ready(intermediate.int_delays_nested(docs), counted))
 
 
-def _fact(spark: SparkSession, sf: str) -> DataFrame:
+def mart_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The fact as a mart table, which rankings and models read."""
     return landed_mart(spark, sf, "fct_flight_legs", lambda: _nested_fact(spark, sf))
 
@@ -436,8 +436,8 @@ def dim_surrogate(spark, sf):
 
 @query
 def star_join(spark, sf):
-    base = _delays_leg(spark, sf)
-    joined = mart.star_join(_fact(spark, sf), mart.dim_airlines(base), mart.dim_airports(base), mart.dim_date(base))
+    base = intermediate.int_delays_nested(_docs(spark, sf))
+    joined = mart.star_join(mart_fact(spark, sf), mart.dim_airlines(base), mart.dim_airports(base), mart.dim_date(base))
     return _plain(
         joined.select(
             "leg_id",
@@ -535,23 +535,23 @@ def leg_aircraft_owner(spark, sf):
 
 @query
 def airline_rank(spark, sf):
-    return _plain(rankings.airline_ranking(_fact(spark, sf)))
+    return _plain(rankings.airline_ranking(mart_fact(spark, sf)))
 
 
 @query
 def airport_rank(spark, sf):
-    return _plain(rankings.airport_ranking(_fact(spark, sf)))
+    return _plain(rankings.airport_ranking(mart_fact(spark, sf)))
 
 
 @query
 def chronic_flights(spark, sf):
-    return _plain(rankings.chronic_flights(_fact(spark, sf)))
+    return _plain(rankings.chronic_flights(mart_fact(spark, sf)))
 
 
 @query
 def chronic_routes(spark, sf):
     by = ["departure_airport_key", "arrival_airport_key"]
-    return _plain(rankings.chronic_flights(_fact(spark, sf), 20, 0.15, by))
+    return _plain(rankings.chronic_flights(mart_fact(spark, sf), 20, 0.15, by))
 
 
 @query
