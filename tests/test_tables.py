@@ -145,5 +145,12 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert rows_of(current["flights"]) == rows_of(flights(once))
     assert current["legs"].count() == legs(once).count() == 3
     assert current["delays"].count() == delays(once).count() == 3
-    tables.compact(current["flights"], str(tmp_path / "compact"))
-    assert tables.read_batches(spark, str(tmp_path / "compact")).count() == 2
+
+    ingest.compact_tables(spark, str(tmp_path / "t"), str(tmp_path / "compact"))
+    newer = [changed(ALPHA, flightLegs=ALPHA["flightLegs"][2:])]
+    write_page(tmp_path / "q", "b.json", newer, "2026-02-02T00:00:00Z")
+    compacted = ingest.current_tables(spark, str(tmp_path / "compact"))
+    assert all(rows_of(compacted[name]) == rows_of(current[name]) for name in current)
+    ingest.write_changes(scan_pages(spark, str(tmp_path / "q")), 2, str(tmp_path / "compact"))
+    after = ingest.current_tables(spark, str(tmp_path / "compact"))
+    assert [after[name].count() for name in ("flights", "legs", "delays")] == [2, 1, 0]
