@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.llm import bpe, packing, token_counts
+from legwork.llm import bpe, language, packing, quality, secret_scan, token_counts, topk, urls, warc
+from legwork.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +50,94 @@ def op7_best_fit_packing(spark, sf):
 @query
 def op9_token_counts(spark, sf):
     return token_counts.suffix_sums(token_counts.length_histogram(_table(spark, sf, "documents"), BYTE_BPE))
+
+
+@query
+def op1_language_id(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    filters = language.train(docs.where(~language.held_out()))
+    found = language.predict(docs.select("doc_id", "text", language.held_out().alias("held_out")), filters)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op4_quality_rules(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf, "labels"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality.judge(docs, model).select(*columns, "probability")
+
+
+@query
+def op2_secret_scan(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    field = secret_scan.train(docs)
+    found = secret_scan.scan(docs, field).drop("text")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "tagged")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op6_exact_top_k(spark, sf):
+    rows = _table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+ORACLE["op6_exact_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, x -> floor(1024 * cast(x as double))) as vec
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.vec, c.vec) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.vec) = len(c.vec)
+  where q.vec_id % 100 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 10
+"""
+
+
+@query
+def op8_warc(spark, sf):
+    folder = f"{work_dir(spark)}/archive"
+    warc.write_archive(_table(spark, sf, "pages"), folder)
+    return warc.page_records(warc.read_records(spark, folder))
+
+
+ORACLE["op8_warc"] = """
+with p as (
+  select page_id, coalesce(html, '') as body from pages
+), d as (
+  select page_id, cast(octet_length(encode(body)) as bigint) as payload_bytes, sha1(body) as payload_digest,
+    max(page_id) over (partition by body) as owner
+  from p
+)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> owner then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> owner then owner end as refers_to
+from d
+"""
+
+#: Production rules: host and path to verdict.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query
+def op10_url_filter(spark, sf):
+    pages = _table(spark, sf, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "accept_probability")
