@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.llm import bpe, language, packing, quality, secret_scan, token_counts, topk, urls, warc
+from legwork.llm import bpe, jaccard, language, packing, quality, secret_scan, token_counts, topk, urls, warc
 from legwork.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,10 +97,10 @@ def op6_exact_top_k(spark, sf):
 
 ORACLE["op6_exact_top_k"] = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(1024 * cast(x as double))) as vec
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as vec
   from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.vec, c.vec) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id and len(q.vec) = len(c.vec)
@@ -141,3 +141,8 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 def op10_url_filter(spark, sf):
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "accept_probability")
+
+
+@query
+def op5_jaccard_join(spark, sf):
+    return jaccard.near_duplicates(_table(spark, sf, "documents"))
