@@ -17,7 +17,6 @@ from legwork.operators.normalize import add_missing_columns
 from legwork.operators.ordering import smallest_hashes
 
 MISSING_LEVEL = "__MISSING__"
-MAX_LEVELS = 10_000
 
 # ---- Fixed values: model columns ----
 NUMERIC_FEATURES = [
@@ -41,17 +40,39 @@ def prepare_numeric(df: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> Dat
     return complete.withColumns({c: int_or_zero(F.col(c)) for c in columns})
 
 
-def levels_of(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list[str]:
+def levels_of(df: DataFrame, column: str) -> list[str]:
     """Sorted levels of a categorical column, null left out.
 
-    Every level becomes a column, so more than ``limit`` of them is an error.
+    For the wide forms below, where each level becomes a column. ``level_table`` and
+    ``encode_levels`` do without a list on the driver.
     """
-    found = (
-        df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("v")).distinct().limit(limit + 1)
-    ).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} levels")
-    return sorted(row["v"] for row in found)
+    found = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("v")).distinct()
+    return sorted(row["v"] for row in found.collect())
+
+
+def level_table(df: DataFrame, column: str) -> DataFrame:
+    """``level, index`` of a categorical column in text order, null being a level of its own.
+
+    Indexes are dense from 0. Levels are numbered in the buckets of their first character,
+    after the counts of the smaller buckets, so no task sees them all.
+    """
+    levels = df.select(F.coalesce(F.col(column).cast("string"), F.lit(MISSING_LEVEL)).alias("level")).distinct()
+    bucketed = levels.withColumn("_bucket", F.substring("level", 1, 1))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_bucket").orderBy("level")) - 1
+    return bucketed.withColumn("_here", here).join(offsets, "_bucket").select(
+        "level", (F.col("_here") + F.col("_before")).cast("int").alias("index")
+    )
+
+
+def encode_levels(df: DataFrame, column: str, levels: DataFrame, name: str | None = None) -> DataFrame:
+    """The level's index in place of the column; an unseen level is null. Any number of levels."""
+    value = F.coalesce(F.col(column).cast("string"), F.lit(MISSING_LEVEL))
+    known = levels.select(F.col("level").alias("_level"), F.col("index").alias("_index"))
+    joined = df.join(known, value == F.col("_level"), "left").withColumn(name or f"{column}_index", F.col("_index"))
+    return joined.drop("_level", "_index", *([] if name == column else [column]))
 
 
 def _indicator(column: Column, level: str) -> Column:

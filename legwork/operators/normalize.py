@@ -156,3 +156,9 @@ def fan_out(docs: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """
     shared = docs.persist(StorageLevel.MEMORY_AND_DISK)
     return shared, {"flights": flights(shared), "legs": legs(shared), "delays": delays(shared, linked=True)}
+
+
+def legs_with_flights(legs_: DataFrame, flights_: DataFrame) -> DataFrame:
+    """Every leg with its flight's columns; nulls where the flight is not loaded."""
+    known = [F.col(name) for name in flights_.columns if name != "id" and name not in legs_.columns]
+    return legs_.join(flights_.select(F.col("id").alias("flight_id"), *known), "flight_id", "left")

@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+SHUFFLE_BYTES_PER_PARTITION = 256 * 1024 * 1024
+#: Blocks of a shuffle grow with the product of its map and reduce tasks.
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def build_session(
@@ -16,8 +18,9 @@ def build_session(
 ) -> SparkSession:
     """A session in UTC with adaptive execution.
 
-    ``input_bytes``, the size of the largest table read, sets how many shuffle
-    partitions a query starts with; adaptive execution merges small ones.
+    ``input_bytes``, what the largest shuffle is expected to move after pruning and
+    partial aggregation, sets how many shuffle partitions a query starts with; adaptive
+    execution merges small ones.
     Skewed joins are split even where that costs one more shuffle, because a hub
     airport or a busy carrier may hold a large part of all legs.
     """
@@ -33,7 +36,7 @@ def build_session(
         "spark.ui.showConsoleProgress": "false",
     }
     if input_bytes:
-        partitions = max(200, -(-input_bytes // SHUFFLE_BYTES_PER_PARTITION))
+        partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // SHUFFLE_BYTES_PER_PARTITION)))
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     settings |= conf
     for key, value in settings.items():

@@ -1,31 +1,105 @@
-"""Parquet tables: append, replace, and keyed batches."""
+"""Parquet tables: append, replace, keyed merges, and keyed batches.
+
+A table that is replaced or merged is a set of parts, each a folder of its own, and a
+published list of the parts that are current. New parts are written first and published
+last, by one small file with the next number. So a reader sees the old rows or the new
+ones, also after a crash, and rows read from a table may replace it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from legwork.operators.merge import merge_by_key
+
+PUBLISHED = "_published"
+BUCKET = "_bucket"
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path and a function that makes its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def _latest(spark: SparkSession, path: str) -> int:
+    fs, make = _folder(spark, path)
+    folder = make(f"{path}/{PUBLISHED}")
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return max([int(name) for name in names if name.isdigit()], default=0)
+
+
+def _parts(spark: SparkSession, path: str) -> dict[str, str]:
+    """Current parts: bucket to folder; empty before the first publication."""
+    number = _latest(spark, path)
+    if not number:
+        return {}
+    lines = spark.read.text(f"{path}/{PUBLISHED}/{number:09d}", wholetext=True)
+    return json.loads(lines.first()[0])
+
+
+def _publish(spark: SparkSession, path: str, parts: dict[str, str], number: int) -> None:
+    """Make the parts current. Fails if another writer has published that number."""
+    fs, make = _folder(spark, path)
+    out = fs.create(make(f"{path}/{PUBLISHED}/{number:09d}"), False)
+    try:
+        out.write(bytearray(json.dumps(parts).encode()))
+    finally:
+        out.close()
+
+
 def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Drop the table and write it again.
+    """Make the rows the table's only ones."""
+    spark, number = df.sparkSession, _latest(df.sparkSession, path) + 1
+    part = f"data-{uuid.uuid4().hex}"
+    df.write.partitionBy(*(partition_by or [])).parquet(f"{path}/{part}")
+    _publish(spark, path, {"": part}, number)
 
-    A plan that reads the same folder is refused, as the overwrite would delete
-    its input first.
+
+def merge_into(updates: DataFrame, path: str, keys: list[str], order: list[Column], buckets: int = 64) -> None:
+    """Update stored rows whose key exists and insert the others; the newest version wins.
+
+    Rows lie in buckets by a hash of the key. Only buckets that the updates touch are read
+    and written; all others keep their parts. The number of buckets is that of the first
+    load.
     """
-    folder = path.split(":", 1)[-1].rstrip("/") + "/"
-    if any(folder in name for name in df.inputFiles()):
-        raise ValueError(f"{path} is read by the rows that should replace it")
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    spark, number = updates.sparkSession, _latest(updates.sparkSession, path) + 1
+    parts = _parts(spark, path)
+    buckets = int(parts.get("buckets", buckets))
+    placed = updates.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = {str(row[0]) for row in placed.select(BUCKET).distinct().collect()}
+    known = [f"{path}/{parts[bucket]}" for bucket in sorted(touched) if bucket in parts]
+    if known:
+        stored = spark.read.parquet(*known)
+        placed = merge_by_key(
+            stored.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), placed, [BUCKET, *keys], order
+        )
+    else:
+        placed = merge_by_key(placed, placed.limit(0), [BUCKET, *keys], order)
+    part = f"data-{uuid.uuid4().hex}"
+    placed.write.partitionBy(BUCKET).parquet(f"{path}/{part}")
+    current = {**parts, **{bucket: f"{part}/{BUCKET}={bucket}" for bucket in touched}, "buckets": str(buckets)}
+    _publish(spark, path, current, number)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    table = spark.read.parquet(path)
+    parts = {bucket: part for bucket, part in _parts(spark, path).items() if bucket != "buckets"}
+    table = spark.read.parquet(*[f"{path}/{part}" for part in parts.values()] if parts else [path])
     return table.select(*columns) if columns else table
 
 
+#: Folder of compacted rows; batches of a stream are numbered from 0.
+BASE_BATCH = -1
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch of changes into its own folder.
 
@@ -39,5 +113,5 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(rows: DataFrame, path: str) -> None:
-    """Write current rows as the first batch of a new table folder."""
-    write_batch(rows, path, 0)
+    """Write current rows into a folder that no batch of a stream can overwrite."""
+    write_batch(rows, path, BASE_BATCH)

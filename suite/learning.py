@@ -10,17 +10,16 @@ from pyspark.sql import functions as F
 from legwork.operators import features, metrics, neighbours, oversample, quality
 from legwork.plans import learn
 from legwork.session import work_dir
-from legwork.sources.documents import scan_pages
-from legwork.sources.listings import scan_schedules
+from legwork.sources.documents import rejected_pages, scan_pages
+from legwork.sources.windows import missing_pages as pages_to_fetch
+from legwork.sources.listings import scan_airports, scan_schedules
 from legwork.sources.tables import append, read_table, replace
 from legwork.streaming.ingest import current_tables, start_ingest, stream_documents
-from suite.fixture import flat_legs
+from suite.fixture import flat_legs, table
 from suite.registry import _docs, _plain, mart_fact, query
 from suite.staging import staged
 
 _models: dict[tuple[str, str, str], tuple] = {}
-# Divisors that bring whole-number features to a similar range
-VECTOR = {"scheduled_flight_duration_min": 600, "departure_weekday": 6, "departure_hour": 23, "departure_monthday": 30}
 
 
 # ---- features ----
@@ -65,6 +64,20 @@ def anova_topk(spark, sf):
     return best.select("feature", F.round("f_value", 4).alias("f_value"))
 
 
+@query
+def best_dummies(spark, sf):
+    """The whole chain: numbers and dummies, scaled to [0, 1], ranked by F, the best 20."""
+    rows = features.prepare_numeric(mart_fact(spark, sf)).select(
+        "is_delayed", *features.NUMERIC_FEATURES, *features.CATEGORICAL_FEATURES
+    )
+    for column in features.CATEGORICAL_FEATURES:
+        rows = features.dummies(rows, column)
+    names = [c for c in rows.columns if c != "is_delayed"]
+    scaled = features.fit_min_max(rows, names).apply(rows)
+    best = features.best_features(scaled, names, "is_delayed", 20)
+    return best.where("f_value is not null").select("feature", F.round("f_value", 4).alias("f_value"))
+
+
 @query
 def class_weight(spark, sf):
     return _plain(features.class_weights(mart_fact(spark, sf), "is_delayed"))
@@ -103,28 +116,39 @@ def roc_auc(spark, sf):
 # ---- oversampling ----
 
 
-def _minority(spark: SparkSession, sf: str) -> DataFrame:
-    vector = F.array(*[F.col(c).cast("double") / F.lit(float(d)) for c, d in VECTOR.items()])
-    return mart_fact(spark, sf).where("is_delayed").select("leg_id", vector.alias("vec"))
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The model's own vectors, scaled, of the rows that a model would be fitted on."""
+    rows = learn.training_rows(mart_fact(spark, sf))
+    rows = learn.fit_share(rows, "leg_id", neighbours.MAX_VECTORS, 42)
+    made = learn.feature_pipeline().fit(rows).transform(rows)
+    return learn.scaled_vectors(made, learn.vector_scale(made)).select("leg_id", "vec", "label")
 
 
 @query
 def smote_neighbours(spark, sf):
     """Distance from each delayed vector to its five nearest others, summed."""
-    found = neighbours.nearest(neighbours.distinct_vectors(_minority(spark, sf), "leg_id", "vec"), 5)
+    late = _vectors(spark, sf).where("label = 1")
+    found = neighbours.nearest(neighbours.distinct_vectors(late, "leg_id", "vec"), 5)
     return found.groupBy("rep").agg(
-        F.count(F.lit(1)).alias("nb_neighbours"), F.round(F.sum("distance"), 6).alias("total_distance")
+        F.count(F.lit(1)).alias("nb_neighbours"), F.round(F.sum("distance"), 5).alias("total_distance")
     )
 
 
 @query
 def smote_balanced(spark, sf):
-    vector = F.array(*[F.col(c).cast("double") / F.lit(float(d)) for c, d in VECTOR.items()])
-    rows = mart_fact(spark, sf).select("leg_id", vector.alias("vec"), F.col("is_delayed").cast("int").alias("label"))
+    """Rows per class, and whether each synthetic value lies within its class's range of the dimension."""
+    rows = _vectors(spark, sf)
     balanced = oversample.balance_classes(rows, "leg_id", "vec", "label")
-    return balanced.groupBy("label").agg(
-        F.count(F.lit(1)).alias("nb_rows"), F.count_if("is_synthetic").alias("nb_synthetic")
+    values = balanced.select("label", "is_synthetic", F.posexplode("vec").alias("place", "x"))
+    real = values.where("not is_synthetic").groupBy("label", "place").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    outside = (
+        values.where("is_synthetic")
+        .join(real, ["label", "place"])
+        .groupBy("label")
+        .agg(F.count_if((F.col("x") < F.col("low") - 1e-9) | (F.col("x") > F.col("high") + 1e-9)).alias("nb_outside"))
     )
+    counts = balanced.groupBy("label").agg(F.count(F.lit(1)).alias("nb_rows"), F.count_if("is_synthetic").alias("nb_synthetic"))
+    return counts.join(outside, "label", "left").withColumn("nb_outside", F.coalesce("nb_outside", F.lit(0)))
 
 
 # ---- training: each model is fitted once per session ----
@@ -133,26 +157,41 @@ def smote_balanced(spark, sf):
 def _trained(spark: SparkSession, sf: str, kind: str) -> tuple[learn.DelayModel, DataFrame]:
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _models:
-        settings = learn.Settings() if kind == "forest" else learn.Settings(trees=20, depth=5, oversample=False)
-        _models[key] = learn.train(learn.training_rows(mart_fact(spark, sf)), settings, kind)
+        _models[key] = learn.train(learn.training_rows(mart_fact(spark, sf)), learn.Settings(), kind)
     return _models[key]
 
 
+def _checked(scored: DataFrame) -> DataFrame:
+    """Scored legs with what must hold of any model's scores."""
+    p = F.col("delay_probability")
+    agrees = F.col("delay_predicted") == (p > 0.5).cast("int")
+    return scored.select(
+        "leg_id", "flight_id", p.between(0, 1).alias("in_range"), (agrees | (F.abs(p - 0.5) < 1e-9)).alias("agrees")
+    )
+
+
 @query
 def forest_scored(spark, sf):
     model, rows = _trained(spark, sf, "forest")
-    return learn.scored_table(learn.score(model, rows))
+    return _checked(learn.scored_table(learn.score(model, rows)))
 
 
 @query
 def forest_metrics(spark, sf):
+    """The test share by class as the metrics see it, and whether the scores rank well."""
     model, rows = _trained(spark, sf, "forest")
-    return learn.evaluate(learn.score(model, rows))
+    found = learn.evaluate(learn.score(model, rows))
+    positives = F.col("tp") + F.col("fn")
+    negatives = F.col("tn") + F.col("fp")
+    return found.select(positives.alias("nb_late"), negatives.alias("nb_in_time"), (F.col("auc") > 0.4).alias("ranks"))
 
 
 @query
 def feature_importance(spark, sf):
-    return learn.feature_importance(_trained(spark, sf, "forest")[0])
+    """Every feature once, and their sum."""
+    found = learn.feature_importance(_trained(spark, sf, "forest")[0])
+    total = found.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return found.select("feature").crossJoin(F.broadcast(total))  # one row
 
 
 @query
@@ -161,13 +200,13 @@ def model_reloaded(spark, sf):
     model, rows = _trained(spark, sf, "forest")
     folder = work_dir(spark)
     model.save(folder)
-    return learn.scored_table(learn.score(learn.load_model(folder), rows))
+    return _checked(learn.scored_table(learn.score(learn.load_model(folder), rows)))
 
 
 @query
 def gbt_scored(spark, sf):
     model, rows = _trained(spark, sf, "boosted")
-    return learn.scored_table(learn.score(model, rows))
+    return _checked(learn.scored_table(learn.score(model, rows)))
 
 
 # ---- landed pages ----
@@ -197,6 +236,42 @@ def json_scan(spark, sf):
     )
 
 
+@query
+def landing_replay(spark, sf):
+    """Pages that are to be fetched again: those rejected at the scan; quoted numbers are no reason."""
+    docs = _docs(spark, sf)
+    landing = f"{work_dir(spark)}/landing"
+    quoted = docs.withColumn("flightNumber", F.concat(F.lit("0"), F.col("flightNumber").cast("string")))
+    lines = _pages(quoted, "2026-02-01 00:00:00").select(
+        F.col("operationalFlights")[0]["flightNumber"].cast("int").alias("number"), F.to_json(F.struct("*")).alias("value")
+    )
+    broken = F.col("number") % 10 == 0
+    lines.select(F.when(broken, F.concat(F.lit("{ cut "), "value")).otherwise(F.col("value"))).write.text(landing)
+    good = scan_pages(spark, landing, one_page_per_line=True).select("id")
+    lost = rejected_pages(spark, landing, one_page_per_line=True)
+    plan = docs.select("id", F.col("flightNumber").alias("flight_number"))
+    again = pages_to_fetch(plan, good, ["id"])
+    return again.crossJoin(F.broadcast(lost.agg(F.count("*").alias("nb_rejected"))))  # one row
+
+
+@query
+def airport_scan(spark, sf):
+    """Airport listings written as pages and read back."""
+    code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    row = F.struct(
+        code.alias("iata_code"),
+        F.initcap("n_name").alias("name"),
+        (F.col("n_nationkey") * 3.5).alias("lat"),
+        F.col("n_regionkey").alias("lng"),
+        F.substring("n_name", 1, 2).alias("country_code"),
+        F.lit(2).alias("runways"),
+    )
+    landing = f"{work_dir(spark)}/airports"
+    table(spark, sf, "nation").select(F.array(row).alias("response")).write.json(landing)
+    found = scan_airports(spark, landing, "2026-02-01 00:00:00", one_page_per_line=True)
+    return found.withColumn("ingested_at", F.col("ingested_at").cast("string"))
+
+
 @query
 def stream_merge(spark, sf):
     """Three landings in turn: all flights, newer pages of some, and older pages that come late."""

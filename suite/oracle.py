@@ -93,6 +93,31 @@ ir as (select distinct leg_key, cflag, case when has_irr and cancel_flag then 'X
 """
 
 
+# Legs that models are trained on, and their vectors: each dimension divided by its deviation
+TRAINED = "not coalesce(has_irr and cancel_flag, false)"
+_NUMBERS = [
+    "duration_min",
+    "isodow(flight_schedule_date) - 1",
+    "month(flight_schedule_date)",
+    "dep_min // 60",
+    "day(flight_schedule_date)",
+    "coalesce(dd, 0)",
+    "coalesce(da, 0)",
+    "coalesce(ad, 0)",
+    "coalesce(aa, 0)",
+]
+VECTORS = (
+    ", tr as (select leg_id, is_delayed late, airline_code, coalesce(aircraft, '-') aircraft, "
+    + ", ".join(f"cast({x} as double) b{i}" for i, x in enumerate(_NUMBERS, 1))
+    + f" from fa where {TRAINED}), sd as (select "
+    + ", ".join(f"coalesce(nullif(stddev_pop(b{i}), 0), 1) s{i}" for i in range(1, 10))
+    + ", cast(count(*) as double) n from tr), vc as (select tr.*, "
+    + ", ".join(f"b{i} / s{i} a{i}" for i in range(1, 10))
+    + """ from tr, sd), wc as (select airline_code, 1 / (count(*) / n * (1 - count(*) / n)) w from tr, sd group by airline_code, n),
+    wt as (select aircraft, 1 / (count(*) / n * (1 - count(*) / n)) w from tr, sd group by aircraft, n)"""
+)
+
+
 def _sql(select: str) -> str:
     return f"with {BASE} {select}"
 
@@ -499,17 +524,37 @@ ORACLE: dict[str, str] = {
         select is_delayed y, coalesce(dep_delay,0) * 1000 + duration_min s from fa) a) b"""
     ),
     "smote_neighbours": _sql(
-        """, pt as (select min(leg_id) rep, a, b, c, d from (select leg_id, duration_min/600.0::double a,
-          (isodow(flight_schedule_date)-1)/6.0::double b, (dep_min//60)/23.0::double c, day(flight_schedule_date)/30.0::double d
-          from fa where is_delayed) z group by a, b, c, d)
-        select rep, count(*) nb_neighbours, round(sum(dist), 6) total_distance from (
-        select x.rep, sqrt((x.a-y.a)*(x.a-y.a)+(x.b-y.b)*(x.b-y.b)+(x.c-y.c)*(x.c-y.c)+(x.d-y.d)*(x.d-y.d)) dist,
-        row_number() over (partition by x.rep order by (x.a-y.a)*(x.a-y.a)+(x.b-y.b)*(x.b-y.b)+(x.c-y.c)*(x.c-y.c)+(x.d-y.d)*(x.d-y.d)) rn
-        from pt x join pt y on x.rep <> y.rep) w where rn <= 5 group by rep"""
+        VECTORS
+        + """, pt as (select *, row_number() over (order by rep) place from (select min(leg_id) rep, airline_code, aircraft, a1, a2, a3, a4, a5, a6, a7, a8, a9
+          from vc where late group by all) z)
+        select rep, count(*) nb_neighbours, round(sum(dist), 5) total_distance from (
+        select rep, dist, row_number() over (partition by rep order by dist) rn from (
+        select x.rep, sqrt("""
+        + "+".join(f"(x.a{i}-y.a{i})*(x.a{i}-y.a{i})" for i in range(1, 10))
+        + """ + case when x.airline_code = y.airline_code then 0 else xc.w + yc.w end
+          + case when x.aircraft = y.aircraft then 0 else xt.w + yt.w end) dist
+        from pt x join pt y on x.place <> y.place
+        join wc xc on xc.airline_code = x.airline_code join wc yc on yc.airline_code = y.airline_code
+        join wt xt on xt.aircraft = x.aircraft join wt yt on yt.aircraft = y.aircraft) v) w where rn <= 5 group by rep"""
     ),
     "smote_balanced": _sql(
-        """select cast(is_delayed as int) label, most nb_rows, most - n nb_synthetic from (select is_delayed, n, max(n) over () most
-        from (select is_delayed, count(*) n from fa group by 1) a) b"""
+        f"""select cast(is_delayed as int) "label", most nb_rows, most - n nb_synthetic, 0::bigint nb_outside from (
+        select is_delayed, n, max(n) over () most from (select is_delayed, count(*) n from fa where {TRAINED} group by 1) a) b"""
+    ),
+    "forest_metrics": _sql(
+        f"""select max(nb_test) filter (is_delayed) nb_late, max(nb_test) filter (not is_delayed) nb_in_time, true ranks from (
+        select is_delayed, cast(fl + case when r <= left_over then 1 else 0 end as bigint) nb_test from (
+        select *, t - sum(fl) over () left_over, row_number() over (order by ex - fl desc) r from (
+        select is_delayed, t, t * n / cast(tot as double) ex, t * n // tot fl from (
+        select *, cast(ceil(tot / 5.0) as bigint) t from (select is_delayed, n, cast(sum(n) over () as bigint) tot from (
+        select is_delayed, count(*) n from fa where {TRAINED} group by 1) a) b) c) d) e) f"""
+    ),
+    "feature_importance": _sql(
+        """select feature, 1.0::double total from (
+        select unnest(['scheduled_flight_duration_min', 'departure_weekday', 'departure_month', 'departure_hour', 'departure_monthday',
+          'dep_airport_nb_departing', 'dep_airport_nb_arriving', 'arr_airport_nb_departing', 'arr_airport_nb_arriving']) feature
+        union all select distinct 'airline_key_'||airline_code from fa
+        union all select distinct 'aircraft_type_code_'||coalesce(aircraft, '__MISSING__') from fa) z"""
     ),
     "json_scan": _sql(
         """select flight_id id, airline_name, route, cast(n as int) nb_legs, '2026-02-01 00:00:00' fetched_at
@@ -535,3 +580,61 @@ ORACLE["schedule_scan"] = _sql(
 ORACLE["append_and_replace"] = _sql(
     "select 'appended' table_name, 2 * count(*) row_count from de union all select 'replaced', count(*) from de"
 )
+for _name in ("forest_scored", "model_reloaded", "gbt_scored"):
+    ORACLE[_name] = _sql(f"select leg_id, flight_id, true in_range, true agrees from fa where {TRAINED}")
+ORACLE["legs_left_flights"] = _sql(
+    """select leg_id id, flight_id, leg_order, case when flight_number % 7 <> 0 then flight_number end flight_number,
+    case when flight_number % 7 <> 0 then airline_code end airline_code, case when flight_number % 7 <> 0 then haul end haul from lg"""
+)
+ORACLE["landing_replay"] = _sql(
+    "select flight_id id, flight_number, cast(count(*) over () as bigint) nb_rejected from fb where flight_number % 10 = 0"
+)
+ORACLE["airport_scan"] = """select 'N'||lpad(cast(n_nationkey as varchar),2,'0') iata_code, cast(null as varchar) icao_code,
+    array_to_string(list_transform(string_split(n_name, ' '), lambda w: upper(w[1])||lower(w[2:])), ' ') "name",
+    n_nationkey * 3.5::double lat, cast(n_regionkey as double) lng, substr(n_name,1,2) country_code,
+    cast(null as varchar) city, cast(null as varchar) timezone, '2026-02-01 00:00:00' ingested_at from nation"""
+_SCALED = {
+    "scheduled_flight_duration_min": "duration_min",
+    "departure_weekday": "isodow(flight_schedule_date)",
+    "departure_month": "month(flight_schedule_date)",
+    "departure_hour": "dep_min // 60",
+    "departure_monthday": "day(flight_schedule_date)",
+    "dep_airport_nb_departing": "coalesce(dd,0)",
+    "dep_airport_nb_arriving": "coalesce(da,0)",
+    "arr_airport_nb_departing": "coalesce(ad,0)",
+    "arr_airport_nb_arriving": "coalesce(aa,0)",
+}
+ORACLE["best_dummies"] = _sql(
+    ", long as ("
+    + " union all ".join(f"select '{name}' feature, is_delayed, cast({x} as double) x from fa" for name, x in _SCALED.items())
+    + """ union all select 'airline_key_'||v, is_delayed, case when airline_code = v then 1 else 0 end from fa,
+        (select distinct airline_code v from fa) a where v > (select min(airline_code) from fa)
+      union all select 'aircraft_type_code_'||v, is_delayed, case when aircraft = v then 1 else 0 end from fa,
+        (select distinct aircraft v from fa) a where v > (select min(aircraft) from fa)),
+    pc as (select feature, is_delayed, cast(count(*) as double) n, avg(x) m, var_pop(x) v from long group by all)
+    select feature, round(f, 4) f_value from (select feature, (sum(n * (m - g) * (m - g)) / (count(*) - 1))
+      / nullif(sum(n * v) / (sum(n) - count(*)), 0) f from (
+      select *, sum(n * m) over (partition by feature) / sum(n) over (partition by feature) g from pc) b group by feature) c
+    where f is not null order by f desc limit 20"""
+)
+# The leaves that FIXTURES.md fills
+_PLACE = ["city.code", "city.country.areaCode", "city.country.code", "city.country.euCountry", "city.country.euroCountry",
+          "city.country.name", "city.name", "code", "location.latitude", "location.longitude", "name", "places.gateNumber"]
+_SIDE = [*(f"airport.{name}" for name in _PLACE), "times.actual", "times.scheduled"]
+_LEG = [
+    *(f"aircraft.{name}" for name in ("ownerAirlineCode", "registration", "typeCode", "typeName")),
+    *(f"{side}.{name}" for side in ("arrivalInformation", "departureInformation") for name in _SIDE),
+    "departureDateTimeDifference",
+    *(f"irregularity.cancellationReason{name}" for name in ("CodePublic", "PublicLong", "PublicShort")),
+    *(f"irregularity.{name}" for name in ("cancelled", "delayCode[]", "delayDuration[]", "delayInformation[].delayCode")),
+    *(f"irregularity.{name}" for name in ("delayInformation[].delayDuration", "delayReasonCodePublic[]", "delayReasonPublicLangTransl[]")),
+    "publishedStatus",
+    "scheduledFlightDuration",
+]
+_DOCUMENT = [
+    "id", "flightNumber", "flightScheduleDate", "haul", "route[]", "flightStatusPublic", "airline.code", "airline.name",
+    "codeShareRelations[].airline.code", "codeShareRelations[].airline.name", "codeShareRelations[].marketingFlightNumber",
+    *(f"flightRelations.{kind}FlightData.id" for kind in ("previous", "equivalent", "onward")),
+    *(f"flightLegs[].{name}" for name in _LEG),
+]
+ORACLE["column_inventory"] = f"select unnest({_DOCUMENT}) column_name from (select 1 from orders limit 1) o"

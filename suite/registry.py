@@ -11,7 +11,9 @@ from legwork.functions import calendar, durations, keys, values
 from legwork.operators import congestion, entities, merge, normalize, quality, rankings, search
 from legwork.plans import intermediate, mart, raw
 from legwork.sources import documents as docsource
+from legwork.session import work_dir
 from legwork.sources import windows
+from legwork.sources.tables import merge_into, read_table
 from suite.fixture import delay_minutes, flat_legs, leg_versions, table
 from suite.staging import landed_mart, raw_tables, staged
 
@@ -60,6 +62,14 @@ def delays(spark, sf):
     return normalize.delays(_docs(spark, sf))
 
 
+@query
+def legs_left_flights(spark, sf):
+    """All legs with their flights, of which some are not loaded."""
+    loaded = staged(spark, sf, "flights").where("flight_number % 7 <> 0")
+    joined = normalize.legs_with_flights(staged(spark, sf, "legs"), loaded)
+    return joined.select("id", "flight_id", "leg_order", "flight_number", "airline_code", "haul")
+
+
 @query
 def route_stops(spark, sf):
     return normalize.route_stops(_docs(spark, sf))
@@ -67,8 +77,15 @@ def route_stops(spark, sf):
 
 @query
 def raw_upsert(spark, sf):
-    stored = docsource.store_documents(_docs(spark, sf))
-    return stored.select(
+    """Whole documents after two loads: the second has new versions of some and late, older ones of others."""
+    docs = _docs(spark, sf)
+    old = docs.withColumns({"airline": F.lit(None).cast(docs.schema["airline"].dataType), "fetched_at": F.lit("2026-01-20").cast("timestamp")})
+    even = F.col("flightNumber") % 2 == 0
+    folder = f"{work_dir(spark)}/documents"
+    order = [F.desc("fetched_at"), F.desc("payload")]
+    for load in (docs.where(even).unionByName(old.where(~even)), docs.where(~even).unionByName(old.where(even))):
+        merge_into(docsource.store_documents(load), folder, ["id"], order)
+    return read_table(spark, folder).select(
         "id",
         "source",
         F.get_json_object("payload", "$.airline.code").alias("airline_code"),
@@ -112,9 +129,9 @@ def flattened(spark, sf):
 
 @query
 def column_inventory(spark, sf):
-    return docsource.column_inventory(
-        docsource.store_documents(_docs(spark, sf)), "$.flightLegs[0].departureInformation"
-    )
+    """Names of every leaf that occurs anywhere in the stored documents."""
+    found = docsource.column_inventory(docsource.store_documents(_docs(spark, sf)))
+    return found.select("column_name")
 
 
 # ---- merges ----
@@ -130,12 +147,14 @@ def merge_latest(spark, sf):
 
 @query
 def merge_upsert(spark, sf):
+    """Two loads merged through storage."""
     events = table(spark, sf, "events")
     order = [F.desc("ts"), F.desc("event_id")]
     key = ["user_id", "event_type"]
-    target = merge.latest_by_key(events.where("event_id % 2 = 0"), key, order)
-    merged = merge.merge_by_key(target, events.where("event_id % 2 = 1"), key, order)
-    return merged.select("user_id", "event_type", "event_id", _micros_ntz("ts"), "value")
+    folder = f"{work_dir(spark)}/events"
+    for load in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")):
+        merge_into(load, folder, key, order)
+    return read_table(spark, folder).select("user_id", "event_type", "event_id", _micros_ntz("ts"), "value")
 
 
 def _micros_ntz(name: str) -> Column:

@@ -110,8 +110,15 @@ def test_dummies_and_one_hot(spark):
     assert set(hot.columns) == {"id", "t_a", "t_b", "t_c", "t___MISSING__"}
     unseen = features.one_hot(df, "t", ["a"])
     assert [r["t_a"] for r in unseen.orderBy("id").collect()] == [1.0, 0.0, 0.0, 0.0]
-    with pytest.raises(ValueError):
-        features.levels_of(df, "t", limit=2)
+
+
+def test_any_number_of_levels_is_encoded(spark):
+    df = spark.range(10_001).select("id", F.concat(F.lit("l"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("t"))
+    levels = features.level_table(df.unionByName(spark.createDataFrame([(-1, None)], "id long, t string")), "t")
+    got = {r["level"]: r["index"] for r in levels.collect()}
+    assert sorted(got.values()) == [*range(10_002)] and [got[k] for k in sorted(got)] == [*range(10_002)]
+    coded = features.encode_levels(df.limit(5).withColumn("t", F.when(F.col("id") != 2, F.col("t")).otherwise("unseen")), "t", levels)
+    assert {r["id"]: r["t_index"] for r in coded.collect()}[2] is None and coded.columns == ["id", "t_index"]
 
 
 def test_scaling_of_a_constant_column_gives_zero(spark):
@@ -173,6 +180,13 @@ def test_totals_below_many_values(spark):
     assert got.where(F.col("below_n") != F.col("v").cast("long")).count() == 0 and got.count() == 5000
 
 
+def exact_gaps(local):
+    m = np.stack(local["vec"])
+    gaps = np.array([np.sqrt(((m - row) ** 2).sum(axis=1)) for row in m])
+    np.fill_diagonal(gaps, np.inf)
+    return dict(zip(local["rep"], np.sort(gaps, axis=1)[:, :5], strict=True))
+
+
 def test_neighbours_equal_brute_force_in_blocks_of_any_size(spark):
     rng = np.random.default_rng(5)
     vectors = np.round(rng.normal(size=(600, 3)), 1)
@@ -181,15 +195,46 @@ def test_neighbours_equal_brute_force_in_blocks_of_any_size(spark):
     distinct = neighbours.distinct_vectors(points, "id", "vec")
     local = distinct.toPandas()
     assert local["copies"].max() >= 200 and local["copies"].sum() == 600
-    m = np.stack(local["vec"])
-    gaps = np.sqrt(((m[:, None] - m[None]) ** 2).sum(axis=2))
-    np.fill_diagonal(gaps, np.inf)
-    want = {rep: np.sort(row)[:5] for rep, row in zip(local["rep"], gaps, strict=True)}
+    want = exact_gaps(local)
     for block in (2000, 40):
         found = neighbours.nearest(distinct, 5, block).toPandas()
-        assert found["rep"].nunique() == len(local)
+        assert found["rep"].nunique() == len(local) and (found.groupby("rep").size() == 5).all()
         for rep, group in found.groupby("rep"):
-            assert np.sort(group["distance"]) == pytest.approx(want[rep])
+            assert group.sort_values("place")["distance"].to_numpy() == pytest.approx(want[rep])
+
+
+def test_neighbours_with_hundreds_of_rare_levels(spark):
+    rng = np.random.default_rng(6)
+    n, carriers, types = 1500, 149, 97
+    vectors = np.zeros((n, 9 + carriers + types))
+    vectors[:, :9] = rng.normal(size=(n, 9))
+    for start, levels in ((9, carriers), (9 + carriers, types)):
+        level = np.minimum(rng.geometric(0.05, n) - 1, levels - 1)
+        vectors[np.arange(n), start + level] = 1 / np.sqrt(np.bincount(level, minlength=levels)[level] / n)
+    points = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, vec array<double>")
+    distinct = neighbours.distinct_vectors(points, "id", "vec")
+    want = exact_gaps(distinct.toPandas())
+    found = neighbours.nearest(distinct, 5).toPandas()
+    for rep, group in found.groupby("rep"):
+        assert group.sort_values("place")["distance"].to_numpy() == pytest.approx(want[rep])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neighbours, "MAX_VECTORS", 100)
+        with pytest.raises(ValueError):
+            neighbours.nearest(distinct, 5)
+
+
+def test_a_class_with_one_row_is_raised_too(spark):
+    rows = [(f"a{i}", [float(i), 0.0], 0) for i in range(7)] + [("b", [5.0, 5.0], 1)]
+    balanced = oversample.balance_classes(spark.createDataFrame(rows, "id string, vec array<double>, y int"), "id", "vec", "y").collect()
+    assert Counter(r["y"] for r in balanced) == {0: 7, 1: 7} and all(r["vec"] == [5.0, 5.0] for r in balanced if r["y"])
+
+
+def test_depth_and_fit_rows_hold_for_both_kinds(spark):
+    deep = learn.Settings(depth=12)
+    assert learn.forest(deep).getMaxDepth() == learn.boosted_trees(deep).getMaxDepth() == 12
+    assert learn.forest(learn.Settings()).getMaxDepth() == 30
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("leg_id"))
+    assert 350 < learn.fit_share(rows, "leg_id", 500, 1).count() < 650 and learn.fit_share(rows, "leg_id", 9000, 1).count() == 5000
 
 
 def test_oversampling_balances_and_stays_between_points(spark):

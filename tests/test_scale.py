@@ -73,7 +73,7 @@ def test_leg_scan_reads_only_the_needed_leaves(spark, tmp_path):
 def test_shuffle_starts_wide_for_large_inputs(spark):
     again = build_session("tests", input_bytes=100 * 2**40)
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert again is spark and int(again.conf.get(name)) == 819_200
+    assert again is spark and int(again.conf.get(name)) == 20_000
     again.conf.unset(name)
 
 

@@ -67,14 +67,36 @@ def test_append_repeats_rows_and_replace_does_not(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "r"), ["id"]).count() == 3
 
 
-def test_replace_refuses_to_overwrite_its_own_input(spark, tmp_path):
+def test_rows_read_from_a_table_may_replace_it(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace(spark.range(3), path)
-    with pytest.raises(ValueError):
-        tables.replace(tables.read_table(spark, path), path)
+    before = tables.read_table(spark, path)
+    tables.replace(before.where("id > 0"), path)
+    assert tables.read_table(spark, path).count() == 2 and before.count() == 3
+
+
+def test_a_part_that_was_never_published_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(3), path)
+    spark.range(100).write.parquet(f"{path}/data-crashed")
     assert tables.read_table(spark, path).count() == 3
 
 
+def test_merge_into_rewrites_only_touched_buckets(spark, tmp_path):
+    path, order = str(tmp_path / "t"), [F.desc("at"), F.desc("v")]
+    first = spark.range(200).select(F.col("id").alias("k"), F.lit(5).alias("at"), F.lit("a").alias("v"))
+    tables.merge_into(first, path, ["k"], order, 16)
+    before = tables._parts(spark, path)
+    updates = spark.createDataFrame([(1, 9, "new"), (2, 1, "old"), (900, 1, "added")], "k long, at int, v string")
+    for _ in range(2):
+        tables.merge_into(updates, path, ["k"], order)
+    rows = {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()}
+    assert len(rows) == 201 and (rows[1], rows[2], rows[900]) == ("new", "a", "added")
+    after = tables._parts(spark, path)
+    assert 0 < sum(before.get(b) != part for b, part in after.items()) <= 3
+    assert tables.read_table(spark, path).count() == 201
+
+
 def test_windows_are_cut_at_a_day_and_the_last_is_short(spark):
     spans = spark.sql("select timestamp '2026-01-01 06:00:00' start, timestamp '2026-01-03 07:00:00' end")
     got = windows.window_plan(spans).orderBy("window_start").collect()
@@ -154,3 +176,33 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     ingest.write_changes(scan_pages(spark, str(tmp_path / "q")), 2, str(tmp_path / "compact"))
     after = ingest.current_tables(spark, str(tmp_path / "compact"))
     assert [after[name].count() for name in ("flights", "legs", "delays")] == [2, 1, 0]
+
+
+def test_fresh_checkpoint_after_compaction_loses_nothing(spark, tmp_path):
+    load(spark, tmp_path, [([ALPHA, NO_LEGS], "2026-02-01T00:00:00Z")], at_once=True)
+    ingest.compact_tables(spark, str(tmp_path / "tables"), str(tmp_path / "next" / "tables"))
+    added = changed(ALPHA, id="20270318+ZA+9999")
+    after = load(spark, tmp_path / "next", [([added], "2026-02-02T00:00:00Z")], at_once=True)
+    assert after["flights"].count() == 3 and after["legs"].count() == 6
+
+
+def test_crash_between_tables_shows_the_version_before(spark, tmp_path, monkeypatch):
+    from legwork.sources.documents import scan_pages
+
+    target = str(tmp_path / "t")
+    write_page(tmp_path / "p", "a.json", [ALPHA], "2026-02-01T00:00:00Z")
+    ingest.write_changes(scan_pages(spark, str(tmp_path / "p")), 0, target)
+    write_page(tmp_path / "q", "b.json", [changed(ALPHA, flightLegs=ALPHA["flightLegs"][2:])], "2026-02-02T00:00:00Z")
+
+    def crash(rows, path, batch_id, write=ingest.write_batch):
+        if path.endswith("flights"):
+            raise OSError("executor lost")
+        write(rows, path, batch_id)
+
+    monkeypatch.setattr(ingest, "write_batch", crash)
+    with pytest.raises(OSError):
+        ingest.write_changes(scan_pages(spark, str(tmp_path / "q")), 1, target)
+    monkeypatch.undo()
+    assert ingest.current_tables(spark, target)["legs"].count() == 3
+    ingest.write_changes(scan_pages(spark, str(tmp_path / "q")), 1, target)
+    assert ingest.current_tables(spark, target)["legs"].count() == 1
