@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from legwork.llm.key_filter import maybe_in
+
 MIN_BYTES = 1000
 LINE_END = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
@@ -26,11 +28,8 @@ def record_id(key: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), key.cast("string"), F.lit(">"))
 
 
-def plan_records(pages: DataFrame, key: str, url: str, html: str, min_bytes: int) -> DataFrame:
-    """``page_id, url, payload, digest, sha1, bytes`` and ``owner``: the largest key with the same payload.
-
-    The owners come from an aggregate over digests and keys alone; the payloads move once.
-    """
+def plan_records(pages: DataFrame, key: str, url: str, html: str) -> tuple[DataFrame, DataFrame]:
+    """``page_id, url, payload, digest, sha1, bytes`` of the pages, and per digest the largest key as ``owner``."""
     payload = F.coalesce(F.encode(F.col(html).cast("string"), "UTF-8"), F.lit("").cast("binary"))
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload")).select(
         "*",
@@ -77,34 +76,41 @@ def write_archive(
     pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES
 ) -> None:
     """Write ``headers`` and ``payloads`` under a new folder."""
-    rows, owners = plan_records(pages, key, url, html, min_bytes)
+    rows, owners = plan_records(pages, key, url, html)
     light = rows.select("page_id", "url", "digest", "sha1", "bytes").join(owners, "digest")
     revisit = (F.col("bytes") >= min_bytes) & (F.col("page_id") != F.col("owner"))
     kind = F.when(F.coalesce(revisit, F.lit(False)), "revisit").otherwise("response")
     header = header_block(kind, F.col("page_id"), F.col("url"), F.col("sha1"), F.col("bytes"), F.col("owner"))
     light.select("page_id", "digest", header.alias("header")).write.parquet(f"{path}/headers")
-    stored = rows.select("page_id", "digest", "payload").join(
-        owners.select("digest", F.col("owner").alias("page_id")), ["digest", "page_id"], "left_semi"
-    )
-    stored.dropDuplicates(["digest"]).select("digest", "payload").write.parquet(f"{path}/payloads")
+    # Payloads that occur once stay where they are; only those that may be copies move
+    copied = rows.groupBy("digest").agg(F.count("*").alias("_n")).where("_n > 1").select("digest")
+    body = rows.select("page_id", "digest", "payload").withColumn("_copied", maybe_in("digest", copied))
+    apart = body.where("_copied").join(owners.select("digest", F.col("owner").alias("page_id")), ["digest", "page_id"], "left_semi")
+    once = apart.dropDuplicates(["digest"]).select("digest", "payload")
+    body.where("not _copied").select("digest", "payload").unionByName(once).write.parquet(f"{path}/payloads")
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Stored payloads; reading one whose bytes do not match its digest fails."""
+    """Stored payloads with their length and SHA-1; reading one whose bytes do not match its digest fails."""
     rows = spark.read.parquet(f"{path}/payloads")
     sound = F.sha2("payload", 256) == F.col("digest")
-    return rows.select(
-        "digest", F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest"))).alias("payload")
+    checked = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest")))
+    return rows.select("digest", checked.alias("payload")).select(
+        "digest", "payload", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_sha1")
     )
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``page_id, header, payload, record``: the full payload of each page and its record's bytes."""
+    """``page_id, header, payload, record``: the full payload of each page and its record's bytes.
+
+    ``payload_bytes`` and ``payload_sha1`` are taken from the verified payload before the
+    join, so a reader of these alone moves no payloads.
+    """
     headers = spark.read.parquet(f"{path}/headers")
     rows = headers.join(read_payloads(spark, path), "digest")
     body = F.when(header_field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
     record = F.concat(F.encode("header", "UTF-8"), body, F.lit(LINE_END * 2).cast("binary"))
-    return rows.select("page_id", "header", "payload", record.alias("record"))
+    return rows.select("page_id", "header", "payload", "payload_bytes", "payload_sha1", record.alias("record"))
 
 
 def header_field(name: str, header: Column | str = "header") -> Column:
@@ -115,13 +121,14 @@ def header_field(name: str, header: Column | str = "header") -> Column:
 
 def page_records(records: DataFrame) -> DataFrame:
     """What the records say of each page, checked against the payload they lead to."""
-    payload_sha1 = F.sha1("payload")
     said = F.regexp_replace(header_field("WARC-Payload-Digest"), "^sha1:", "")
-    checked = F.when(said == payload_sha1, payload_sha1).otherwise(F.raise_error(F.lit("record and payload disagree")))
+    length = F.when(header_field("WARC-Type") == "revisit", F.lit(0)).otherwise(F.col("payload_bytes"))
+    agree = (said == F.col("payload_sha1")) & (header_field("Content-Length") == length.cast("string"))
+    checked = F.when(agree, said).otherwise(F.raise_error(F.lit("record and payload disagree")))
     target = F.regexp_extract(header_field("WARC-Refers-To"), r"^<urn:page:(.*)>$", 1)
     return records.select(
         "page_id",
-        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        "payload_bytes",
         checked.alias("payload_digest"),
         header_field("WARC-Type").alias("record_type"),
         F.when(target != "", target).cast("bigint").alias("refers_to"),
