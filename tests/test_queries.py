@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as contract
+import suite.learning  # noqa: F401
 from suite.compare import connect, differences
+from suite.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     problem, rows = differences(spark, con, SF_DIR, name)
     assert problem is None
@@ -27,3 +29,7 @@ def test_entry_is_lazy_and_stable(spark):
 
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_every_query_here_has_an_oracle():
+    assert set(QUERIES) <= set(contract.oracle_sql()) and set(QUERIES) <= set(contract.queries())
