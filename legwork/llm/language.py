@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwork.llm.chars import code_points, has_letter, mix, slices, word_letters
+from legwork.llm.storage import free_name
 
 #: Training documents of one language at most, chosen by a hash of their key.
 TRAIN_DOCS = 4_000
@@ -167,9 +168,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     )
 
 
-def predict(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
-    """Documents with ``lang_pred`` and ``score``, the part of its trigrams the language contains."""
-    shared = docs.sparkSession.sparkContext.broadcast(filters)
+def language_of(text: Column, filters: LanguageFilters, spark) -> Column:
+    """``lang_pred`` and ``score`` of each text."""
+    shared = spark.sparkContext.broadcast(filters)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def decide(texts: pa.Array) -> pa.Array:
@@ -177,7 +178,12 @@ def predict(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> Da
         names, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
         return pa.StructArray.from_arrays([names, scores], ["lang_pred", "score"])
 
-    rows = docs.drop("lang_pred", "score").withColumn("_lang", decide(F.col(text)))
+    return decide(text)
+
+
+def predict(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
+    """Documents with ``lang_pred`` and ``score``, the part of its trigrams the language contains."""
+    rows = docs.drop("lang_pred", "score").withColumn("_lang", language_of(F.col(text), filters, docs.sparkSession))
     return rows.withColumns({"lang_pred": F.col("_lang.lang_pred"), "score": F.col("_lang.score")}).drop("_lang")
 
 
@@ -192,5 +198,6 @@ CLEAR = 0.5
 
 def keep_clear(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
     """Documents in a known language, with their own columns."""
-    rows = predict(docs.withColumn("_row", F.struct(*docs.columns)), filters, text)
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= CLEAR)).select("_row.*")
+    name = free_name(docs, "_lang")
+    rows = docs.withColumn(name, language_of(F.col(text), filters, docs.sparkSession))
+    return rows.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= CLEAR)).select(*docs.columns)

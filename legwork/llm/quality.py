@@ -21,13 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwork.llm.chars import code_points, mix, slices
+from legwork.llm.storage import free_name
 
 #: Labelled rows used at most; a quarter of them calibrates.
 TRAIN_ROWS = 8_000
+#: Tasks that hold them; each returns a gradient of all buckets in every step.
+TRAIN_TASKS = 8
 WORD_BUCKETS = 1 << 16
 CHAR_BUCKETS = 1 << 16
 ORDERS = (1, 3)
@@ -147,6 +150,7 @@ def train(
         docs.select(key, text)
         .join(F.broadcast(chosen), key)  # at most about max_rows rows
         .select(vector(F.col(text)).alias("features"), F.col("_label").cast("double").alias("label"), fold.alias("_fold"))
+        .coalesce(TRAIN_TASKS)
         .persist()
     )
     try:
@@ -176,9 +180,9 @@ def measure(model: QualityModel, text: str | None) -> tuple:
     return len(words), len(text) - blank, symbols, duplicate_lines(text), repeated_words(words), probability
 
 
-def judge(docs: DataFrame, model: QualityModel, text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
-    """Documents with the five measures, ``probability``, ``base_failed`` and ``kept``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def measures_of(text: Column, model: QualityModel, spark) -> Column:
+    """The measures and ``probability`` of each text."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(f"struct<{', '.join(f'{name}: {kind}' for name, kind in _FIELDS)}>")
     def measured(texts: pa.Array) -> pa.Array:
@@ -187,16 +191,25 @@ def judge(docs: DataFrame, model: QualityModel, text: str = "text", keep_from: f
         columns = [pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(_FIELDS)]
         return pa.StructArray.from_arrays(columns, [name for name, _ in _FIELDS])
 
+    return measured(text)
+
+
+def fails_rules(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEATED_PERCENT * n_words)
+
+
+def judge(docs: DataFrame, model: QualityModel, text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
+    """Documents with the five measures, ``probability``, ``base_failed`` and ``kept``."""
     names = [name for name, _ in _FIELDS]
-    rows = docs.drop(*names, "base_failed", "kept").withColumn("_m", measured(F.col(text)))
+    rows = docs.drop(*names, "base_failed", "kept").withColumn("_m", measures_of(F.col(text), model, docs.sparkSession))
     rows = rows.withColumns({name: F.col(f"_m.{name}") for name in names}).drop("_m")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("probability") >= keep_from)
-    )
+    rows = rows.withColumn("base_failed", fails_rules(F.col("n_words"), F.col("n_repeat_words")))
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= keep_from))
 
 
-def keep_good(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, model: QualityModel, text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
     """Documents that pass the rules and the classifier, with their own columns."""
-    rows = judge(docs.withColumn("_row", F.struct(*docs.columns)), model, text)
-    return rows.where("kept").select("_row.*")
+    name = free_name(docs, "_m")
+    rows = docs.withColumn(name, measures_of(F.col(text), model, docs.sparkSession))
+    fails = fails_rules(F.col(f"{name}.n_words"), F.col(f"{name}.n_repeat_words"))
+    return rows.where(~fails & (F.col(f"{name}.probability") >= keep_from)).select(*docs.columns)

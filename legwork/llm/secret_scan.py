@@ -30,7 +30,7 @@ AROUND, WINDOWS = 16, 2
 STEPS = 100
 BUCKETS = 1 << 15
 PENALTY = 2e-4
-CACHED_TOKENS = 200_000
+CACHED_TOKENS = 100_000
 CACHED_CHARS = 16
 #: Longer tokens are known by their shape only.
 WORD_CHARS = 10

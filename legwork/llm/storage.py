@@ -16,3 +16,10 @@ def landed(rows: DataFrame) -> DataFrame:
     folder = f"{work_dir(rows.sparkSession)}/rows"
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """The name, made longer until no column has it."""
+    while name in rows.columns:
+        name += "_"
+    return name

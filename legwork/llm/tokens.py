@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from functools import cache
+from functools import cache, cached_property
 
 import tiktoken
 from tokenizers import Tokenizer
@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from legwork.llm.bpe import FAMILIAR, SIGNS, byte_letters
 
 #: Pieces kept by a worker; beyond them it starts a new table, so memory stays bounded.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 150_000
 CACHED_CHARS = 32
 #: Longer pieces go to the library whose time does not grow with their square.
 LONG_PIECE = 1_000
@@ -51,7 +51,7 @@ class ByteEncoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         byte = {letter: i for i, letter in enumerate(byte_letters())}
@@ -61,6 +61,11 @@ class ByteEncoder(dict):
 
         self.signs: dict[str, bytes] = {}
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Loaded only where a text needs it, as it takes memory."""
+        return Tokenizer.from_file(self.path)
+
     def ids(self, piece: str) -> bytes:
         if not piece:
             return b""
