@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from legwork.llm.storage import landed
 from legwork.llm.tokens import byte_encoder
 
 #: Lengths of one block; suffix sums run in the blocks and over the block totals.
@@ -33,9 +34,9 @@ def token_count(text: Column | str, path: str) -> Column:
 
 
 def length_histogram(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``length, docs``: documents by encoded length."""
+    """``length, docs``: documents by encoded length, stored, so that texts are encoded once."""
     lengths = docs.select(token_count(F.col(text), path).alias("length"))
-    return lengths.groupBy("length").agg(F.count("*").alias("docs"))
+    return landed(lengths.groupBy("length").agg(F.count("*").alias("docs")))
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
