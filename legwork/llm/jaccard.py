@@ -7,9 +7,9 @@ the same prefix and size are one group. Groups that share a prefix shingle, and
 size and position filters, are candidates; their members are then verified on whole sets.
 
 Only connectivity is asked for, so a bucket of groups that share a shingle need not emit
-all its pairs. First each group meets the pivot of its buckets with which it shares most;
-the links make components. Then only candidate pairs across components are left, and all
-of them are verified, so no link between components is lost.
+all its pairs. In a few turns each group of a crowded bucket meets one pivot, that of most
+of its buckets; the links make components. Then the candidate pairs across components are
+left, and all of them are verified, so no link between components is lost.
 
 Null texts and texts without words have no shingles and are alone; fewer than five words
 are one shingle. Ties and repeated rows are copies. Rows without a key have no component.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from legwork.llm.chars import mix
 from legwork.llm.components import components
+from legwork.llm.key_filter import maybe_in
 from legwork.llm.storage import landed
 
 WORDS = 5
@@ -36,8 +37,9 @@ SIMILAR, OF = 4, 5
 FREQUENT = 2_000
 #: Shingles counted together before they leave a task, and the least count that leaves it.
 COUNTED, LEAST = 1 << 22, 3
-#: Bits of the filter that keeps texts without a candidate from moving; its size is fixed.
-FILTER_BITS = 1 << 26
+
+#: Buckets of at least so many groups are first joined through pivots, in so many turns.
+CROWD, TURNS = 8, 2
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -154,40 +156,13 @@ def can_link(n: str, position: str, other_n: str, other_position: str) -> Column
     return (F.least(a, b) * OF >= F.greatest(a, b) * SIMILAR) & (rest >= needed)
 
 
-def key_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """A Bloom filter of fixed size over the keys: one word per row reaches the driver."""
-    spots = F.array(*[F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(FILTER_BITS)) for i in range(2)])
-    bits = keys.select(F.explode(spots).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 as int))")).alias("mask"))
-    table = words.toArrow()
-    found = np.zeros(FILTER_BITS // 32, np.uint32)
-    found[table.column("word").to_numpy()] = table.column("mask").to_numpy().astype(np.uint32)
-    return found
-
-
-def near_keys(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows whose key may be among the keys, before a join decides."""
-    shared = rows.sparkSession.sparkContext.broadcast(key_filter(keys, key))
-
-    @F.arrow_udf("boolean")
-    def held(first: pa.Array, second: pa.Array) -> pa.Array:
-        words, found = shared.value, np.ones(len(first), bool)
-        for spots in (first, second):
-            at = spots.to_numpy(zero_copy_only=False)
-            found &= (words[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
-        return pa.array(found)
-
-    spots = [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(FILTER_BITS)) for i in range(2)]
-    return rows.where(held(*spots))
-
-
 def links_of(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The pairs ``a, b`` of set ids whose whole sets are similar enough."""
     wanted = landed(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "set_id"))
     first = landed(members.join(wanted, "set_id").select("set_id", F.col("first_key").alias(key)))
-    texts = near_keys(docs.select(key, text), key, first).join(first.withColumnRenamed("set_id", "_want"), key)
-    found = texts.select("_want", whole_set(F.col(text)).alias("s")).where("s.set_id = _want")
-    sets = landed(found.select("s.*").dropDuplicates(["set_id"]))
+    texts = docs.select(key, text).where(maybe_in(key, first)).join(first.withColumnRenamed("set_id", "_want"), key)
+    found = texts.dropDuplicates([key, text]).select("_want", whole_set(F.col(text)).alias("s"))
+    sets = found.where("s.set_id = _want").select("s.*")
     left = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("_left"))
     right = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("_right"))
     both = pairs.join(right, "b").join(left, "a")
@@ -197,48 +172,93 @@ def links_of(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, te
 
 
 def candidate_buckets(groups: DataFrame) -> DataFrame:
-    """``shingle, gid, n, position, pivot`` of the prefix shingles that two groups or more share.
+    """``shingle, gid, n, position, crowd`` of the prefix shingles that two groups or more share.
 
-    A frequent shingle's bucket may be large: its pivot is aggregated in the tasks and
-    joined back, where Spark can split it. The buckets of all others are small.
+    ``crowd`` is the number of groups in the bucket. A frequent shingle's bucket may be
+    large: its groups are counted in the tasks and the count joined back, where Spark can
+    split it. The buckets of all others are small.
     """
     posted = groups.select("gid", "n", "n_rare", F.posexplode("prefix").alias("position", "shingle"))
-    smallest = F.min(F.struct("n", "gid", "position"))
-    rare = posted.where("position < n_rare")
+    columns = ["shingle", "gid", "n", "position"]
     here = Window.partitionBy("shingle")
-    rare = rare.select("shingle", "gid", "n", "position", smallest.over(here).alias("pivot"), F.count("*").over(here).alias("_groups"))
-    hot = posted.where("position >= n_rare").select("shingle", "gid", "n", "position")
-    pivots = hot.groupBy("shingle").agg(smallest.alias("pivot"), F.count("*").alias("_groups"))
-    columns = ["shingle", "gid", "n", "position", "pivot"]
-    return rare.where("_groups > 1").select(columns).unionByName(hot.join(pivots.where("_groups > 1"), "shingle").select(columns))
+    rare = posted.where("position < n_rare").select(*columns, F.count("*").over(here).alias("crowd"))
+    hot = posted.where("position >= n_rare").select(columns)
+    shared = hot.groupBy("shingle").agg(F.count("*").alias("crowd"))
+    columns = [*columns, "crowd"]
+    return rare.where("crowd > 1").select(columns).unionByName(hot.join(shared.where("crowd > 1"), "shingle").select(columns))
+
 
+def with_reach(buckets: DataFrame) -> DataFrame:
+    """Buckets with ``reach``, how many other groups each group meets in all of its buckets.
 
-def star_pairs(buckets: DataFrame, members: DataFrame) -> DataFrame:
-    """Each group's members against the pivot of most of its buckets, and against its own first member."""
-    meeting = buckets.where("gid <> pivot.gid").withColumns({"_n": F.col("pivot.n"), "_position": F.col("pivot.position")})
-    met = meeting.where(can_link("n", "position", "_n", "_position")).groupBy("gid", F.col("pivot.gid").alias("a")).agg(F.count("*").alias("_times"))
-    best = met.groupBy("gid").agg(F.max(F.struct("_times", "a")).alias("_best")).select("gid", F.col("_best.a").alias("a"))
-    across = best.join(members, "gid").select("a", F.col("set_id").alias("b"))
-    inside = members.where("set_id <> gid").select(F.col("gid").alias("a"), F.col("set_id").alias("b"))
-    return across.union(inside)
+    Of near copies of one text, that with the fewest changes of its own reaches most.
+    """
+    return buckets.join(buckets.groupBy("gid").agg(F.sum("crowd").alias("reach")), "gid")
 
 
-def open_pairs(buckets: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs of members that are in different components."""
+def placed_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``gid, set_id, part``: each member's component so far."""
+    if labels is None:
+        return members.select("gid", "set_id", F.col("set_id").alias("part"))
     named = labels.select(F.col("node").alias("set_id"), "label")
-    placed = landed(members.join(named, "set_id", "left").select("gid", "set_id", F.coalesce("label", "set_id").alias("part")))
+    return members.join(named, "set_id", "left").select("gid", "set_id", F.coalesce("label", "set_id").alias("part"))
+
+
+def parted_buckets(buckets: DataFrame, placed: DataFrame) -> DataFrame:
+    """Buckets with the range of components, ``low`` to ``high``, that each group's members are in."""
     spans = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    posted = buckets.join(spans, "gid").select("shingle", "gid", "n", "position", "low", "high")
+    return buckets.join(spans, "gid")
+
+
+def star_pairs(buckets: DataFrame, placed: DataFrame, turn: int) -> DataFrame:
+    """Members of groups in crowded buckets against the pivot of most of the group's buckets.
+
+    The pivot of a bucket is at first its group of the greatest reach, then one by a hash
+    that changes with the turn. Groups in the pivot's component are left out, and so are
+    buckets within one component.
+    """
+    posted = parted_buckets(buckets.where(F.col("crowd") >= CROWD), placed)
+    order = F.xxhash64("gid", F.lit(turn)) if turn else F.col("reach")
+    first = F.max(F.struct(order.alias("order"), "gid", "n", "position", "low")).alias("pivot")
+    crowds = posted.groupBy("shingle").agg(first, F.min("low").alias("_low"), F.max("high").alias("_high"))
+    crowds = crowds.where(F.col("_low") != F.col("_high")).select("shingle", "pivot")
+    meeting = posted.join(crowds, "shingle").withColumns({"_n": F.col("pivot.n"), "_position": F.col("pivot.position")})
+    meeting = meeting.where((F.col("gid") != F.col("pivot.gid")) & (F.col("low") != F.col("pivot.low")))
+    met = meeting.where(can_link("n", "position", "_n", "_position"))
+    times = met.groupBy("gid", F.col("pivot.gid").alias("a")).agg(F.count("*").alias("_times"))
+    best = times.groupBy("gid").agg(F.max(F.struct("_times", "a")).alias("_best")).select("gid", F.col("_best.a").alias("a"))
+    across = best.join(placed, "gid").select("a", F.col("set_id").alias("b"))
+    if turn:
+        return across
+    return across.union(placed.where("set_id <> gid").select(F.col("gid").alias("a"), F.col("set_id").alias("b")))
+
+
+def share_enough(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Pairs of groups whose common prefix shingles, and all beyond a prefix, can make them similar.
+
+    Prefixes are a fifth of the sets, so most pairs end here before whole sets move.
+    """
+    left = prefixes.select("gid", F.col("n").alias("_a"), F.col("prefix").alias("_left"))
+    right = prefixes.select(F.col("gid").alias("o_gid"), F.col("n").alias("_b"), F.col("prefix").alias("_right"))
+    both = pairs.join(right, "o_gid").join(left, "gid")
+    beyond = F.greatest(F.col("_a") - F.size("_left"), F.col("_b") - F.size("_right"))
+    needed = F.ceil((F.col("_a") + F.col("_b")) * SIMILAR / (SIMILAR + OF) - F.lit(1e-9))
+    return both.where(F.size(F.array_intersect("_left", "_right")) + beyond >= needed).select("gid", "o_gid")
+
+
+def open_pairs(buckets: DataFrame, placed: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """All candidate pairs of members that are in different components."""
+    posted = parted_buckets(buckets, placed)
     split = posted.groupBy("shingle").agg(F.min("low").alias("_low"), F.max("high").alias("_high")).where("_low <> _high")
-    left = landed(posted.join(split.select("shingle"), "shingle", "left_semi"))
+    left = landed(posted.join(split.select("shingle"), "shingle", "left_semi").select("shingle", "gid", "n", "position", "low", "high"))
     right = left.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("gid", "n", "position", "low", "high")])
     differ = (F.col("low") != F.col("o_low")) | (F.col("high") != F.col("o_high")) | (F.col("low") != F.col("high"))
-    met = left.join(right, "shingle").where(F.col("gid") < F.col("o_gid")).where(differ)
-    groups = met.where(can_link("n", "position", "o_n", "o_position")).select("gid", "o_gid").distinct()
+    met = left.join(right, "shingle").where((F.col("gid") < F.col("o_gid")) & differ & can_link("n", "position", "o_n", "o_position"))
+    groups = share_enough(landed(met.select("gid", "o_gid").distinct()), prefixes)
     one = placed.select("gid", F.col("set_id").alias("a"), F.col("part").alias("_a"))
     two = placed.select(F.col("gid").alias("o_gid"), F.col("set_id").alias("b"), F.col("part").alias("_b"))
     across = groups.join(one, "gid").join(two, "o_gid").where("_a <> _b").select("a", "b")
-    mixed = spans.where("low <> high").select("gid")
+    mixed = placed.groupBy("gid").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("gid")
     apart = one.join(mixed, "gid", "left_semi").join(two.withColumnRenamed("o_gid", "gid"), "gid")
     return across.union(apart.where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b"))).select("a", "b"))
 
@@ -257,15 +277,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     groups = nodes.groupBy("prefix_id", "n").agg(F.min("set_id").alias("gid"))
     members = landed(nodes.join(groups, ["prefix_id", "n"]).select("set_id", "gid", "n", "first_key", "row"))
     leads = members.where("set_id = gid").select("row", "gid")
-    buckets = landed(candidate_buckets(filled.select("row", "n", "n_rare", "prefix").join(leads, "row")))
-
-    stars = landed(star_pairs(buckets, members))
-    links = landed(links_of(stars, members, rows, key, text))
-    labels = components(links)
-    rest = landed(open_pairs(buckets, members, labels).join(stars, ["a", "b"], "left_anti"))
+    grouped = filled.select("row", "n", "n_rare", "prefix").join(leads, "row")
+    buckets = landed(candidate_buckets(grouped))
+
+    buckets = landed(with_reach(buckets))
+    links, labels = spark.createDataFrame([], "a bigint, b bigint"), None
+    for turn in range(TURNS):
+        placed = landed(placed_members(members, labels))
+        stars = landed(star_pairs(buckets, placed, turn))
+        if stars.isEmpty():
+            break
+        links = landed(links.union(links_of(stars, members, rows, key, text)))
+        labels = components(links)
+    placed = landed(placed_members(members, labels))
+    rest = landed(open_pairs(buckets, placed, grouped))
     if not rest.isEmpty():
         links = landed(links.union(links_of(rest, members, rows, key, text)))
-        labels = components(links)
+    labels = components(links)
 
     parts = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "first_key", F.coalesce("label", "set_id").alias("part"))
     smallest = parts.groupBy("part").agg(F.min("first_key").alias("component_id"))
