@@ -286,3 +286,39 @@ def test_url_models_smooth_and_count(spark):
     n_chars = sum(len(u) + 1 for k, u, ok in rows)
     counted = spark.createDataFrame(rows, "page_id long, url string, accepted boolean")
     assert urls.cell_counts(counted).where("kind = 1").agg(F.sum("n")).first()[0] == n_chars * (urls.ORDER + 1)
+
+
+def plain_differences(known, urls_asked, order=5, backing=2.0):
+    counts = [Counter(), Counter()]
+    for url, accepted in known:
+        text = "\x02" * order + url + "\x03"
+        for i in range(order, len(text)):
+            for k in range(order + 1):
+                counts[accepted][0, text[i - k : i], k] += 1
+                counts[accepted][1, text[i - k : i + 1], k] += 1
+    found = []
+    for url in urls_asked:
+        text, total = "\x02" * order + url + "\x03", 0.0
+        for i in range(order, len(text)):
+            for sign, held in ((-1, counts[0]), (1, counts[1])):
+                p = 1 / 256
+                for k in range(order + 1):
+                    p = (held[1, text[i - k : i + 1], k] + backing * p) / (held[0, text[i - k : i], k] + backing)
+                total += sign * np.log(p)
+        found.append(total / (len(url) + 1))
+    return found
+
+
+@pytest.mark.parametrize("common", [0.0, 1 / 200, 1.0])
+def test_url_counts_are_exact_beyond_any_table_size(spark, monkeypatch, common):
+    """More distinct strings than the 262,144 cells that once held them, and URLs whose strings are all unseen."""
+    monkeypatch.setattr(urls, "COMMON", common)
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789éß漢"
+    rows = [(i, "http://" + "".join(rng.choices(letters, k=30)) + (".org/" if i % 2 else ".net/"), i % 2 == 1) for i in range(4000)]
+    labelled = spark.createDataFrame(rows, "page_id long, url string, accepted boolean")
+    counted = urls.cell_counts(labelled)
+    assert counted.where("kind = 1").count() > 1 << 18
+    models = urls.UrlModels(urls.gram_counts(urls._by_text(labelled, "url", urls._label_sums()), "_url", ["rejected", "accepted"]))
+    asked = [rows[0][1], rows[1][1], "http://漢漢漢漢漢漢漢漢.org/", "ZZZZZZZZ", "", "aaaaaaaaaaaaaaaa", "\x00\x02\x03"] + ["http://q.net/"] * 2
+    assert models.differences(asked) == pytest.approx(plain_differences([r[1:] for r in rows], asked), abs=1e-12)
