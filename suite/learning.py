@@ -117,9 +117,8 @@ def roc_auc(spark, sf):
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """The model's own vectors, scaled, of the rows that a model would be fitted on."""
+    """The model's own vectors, scaled, of all rows."""
     rows = learn.training_rows(mart_fact(spark, sf))
-    rows = learn.fit_share(rows, "leg_id", neighbours.MAX_VECTORS, 42)
     made = learn.feature_pipeline().fit(rows).transform(rows)
     return learn.scaled_vectors(made, learn.vector_scale(made)).select("leg_id", "vec", "label")
 
@@ -128,7 +127,7 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
 def smote_neighbours(spark, sf):
     """Distance from each delayed vector to its five nearest others, summed."""
     late = _vectors(spark, sf).where("label = 1")
-    found = neighbours.nearest(neighbours.distinct_vectors(late, "leg_id", "vec"), 5)
+    found = neighbours.nearest_in_blocks(neighbours.distinct_vectors(late, "leg_id", "vec"), 5)
     return found.groupBy("rep").agg(
         F.count(F.lit(1)).alias("nb_neighbours"), F.round(F.sum("distance"), 5).alias("total_distance")
     )

@@ -281,3 +281,44 @@ def test_training_scores_every_row_and_survives_a_reload(spark, tmp_path):
     assert learn.evaluate(learn.score(boosted, split)).first()["accuracy"] == 1.0
     top = learn.feature_importance(boosted).orderBy(F.desc("importance")).first()
     assert top["feature"] == "scheduled_flight_duration_min"
+
+
+@pytest.mark.parametrize("block", [5000, 100, 7])
+def test_neighbours_of_any_number_equal_brute_force(spark, block):
+    """More vectors than the bounded search takes, in clusters, with rare levels and copies."""
+    rng = np.random.default_rng(11)
+    n = 1200
+    vectors = np.round(rng.normal(size=(n, 4)), 1) + 50.0 * rng.integers(0, 5, n)[:, None]
+    vectors[:100] = vectors[0]
+    vectors = np.hstack([vectors, np.eye(30)[np.minimum(rng.geometric(0.2, n) - 1, 29)] * 4])
+    points = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, vec array<double>")
+    distinct = neighbours.distinct_vectors(points, "id", "vec")
+    local = distinct.toPandas()
+    want = exact_gaps(local)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neighbours, "MAX_VECTORS", 100)
+        found = neighbours.nearest_in_blocks(distinct, 5, block).toPandas()
+    by_rep = local.set_index("rep")
+    assert found["rep"].nunique() == len(local) and (found.groupby("rep").size() == 5).all()
+    for rep, group in found.groupby("rep"):
+        assert group.sort_values("place")["distance"].to_numpy() == pytest.approx(want[rep])
+    for row in found.head(200).itertuples():
+        assert row.rep != row.neighbour and list(row.neighbour_vec) == list(by_rep["vec"][row.neighbour]) and row.neighbour_copies == by_rep["copies"][row.neighbour]
+
+
+def test_few_vectors_in_blocks(spark):
+    points = spark.createDataFrame([(1, [0.0, 1.0]), (2, [3.0, 5.0]), (3, [3.0, 5.0])], "id long, vec array<double>")
+    found = neighbours.nearest_in_blocks(neighbours.distinct_vectors(points, "id", "vec"), 5).collect()
+    assert {(r.rep, r.neighbour, r.distance, r.neighbour_copies, r.place) for r in found} == {(1, 2, 5.0, 2, 1), (2, 1, 5.0, 1, 1)}
+    assert neighbours.nearest_in_blocks(neighbours.distinct_vectors(points.limit(1), "id", "vec"), 5).count() == 0
+    assert neighbours.nearest_in_blocks(neighbours.distinct_vectors(points.limit(0), "id", "vec"), 5).count() == 0
+
+
+def test_oversampling_queries_read_every_row(spark):
+    """The vectors of the queries are those of all rows, however few a bounded search takes."""
+    from suite import learning
+
+    rows = learning.learn.training_rows(learning.mart_fact(spark, "/root/testdata/sf0.001"))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neighbours, "MAX_VECTORS", 500)
+        assert learning._vectors(spark, "/root/testdata/sf0.001").count() == rows.count() > 1000
