@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.llm import bpe, jaccard, language, packing, quality, secret_scan, token_counts, topk, urls, warc
+from legwork.llm import bpe, jaccard, language, line_dedup, packing, quality, secret_scan, token_counts, topk, urls, warc
 from legwork.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,27 @@ def op10_url_filter(spark, sf):
 @query
 def op5_jaccard_join(spark, sf):
     return jaccard.near_duplicates(_table(spark, sf, "documents"))
+
+
+@query
+def op13_line_dedup(spark, sf):
+    kept = line_dedup.kept_lines(_table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_line_dedup"] = """
+with l as (
+  select doc_id, u.line, u.place
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents) d,
+    unnest(d.parts) with ordinality as u(line, place)
+), k as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from l
+), h as (
+  select *, length(key) >= 10 and min(doc_id) over (partition by key) <> doc_id as gone from k
+)
+select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (where gone) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
+from h group by doc_id
+"""
