@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.llm import bpe, jaccard, language, line_dedup, packing, quality, secret_scan, token_counts, topk, urls, warc
+from legwork.llm import bpe, jaccard, language, line_dedup, packing, phrases, quality, secret_scan, token_counts, topk, urls, warc
 from legwork.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +170,57 @@ select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (where
   sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
 from h group by doc_id
 """
+
+
+@query
+def op12_phrases(spark, sf):
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
+ORACLE["op12_phrases"] = """
+with d as (
+  select row_number() over () as id, coalesce(lang, 'und') as lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\\x0A-\\x0D]') as pieces
+  from documents
+), p as (
+  select id, lang, place, regexp_extract_all(piece, '[^\\x20\\x09]+') as words
+  from d, unnest(d.pieces) with ordinality as u(piece, place)
+), w as (
+  select id, place, lang, word, b from p, unnest(p.words) with ordinality as u(word, b)
+), g as (
+  select lang, word as w1, lead(word) over x as w2, lead(word, 2) over x as w3, lead(word, 3) over x as w4
+  from w window x as (partition by id, place order by b)
+), total as (
+  select lang, cast(count(*) as bigint) as n from g group by lang
+), f as (
+  select lang, phrase, size, count(*) as a
+  from (
+    select lang, w1 as phrase, 1 as size from g
+    union all select lang, w1 || ' ' || w2, 2 from g where w2 is not null
+    union all select lang, w1 || ' ' || w2 || ' ' || w3, 3 from g where w3 is not null
+    union all select lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4 from g where w4 is not null
+  ) group by all having count(*) >= 30
+), cand as (
+  select *, string_split(phrase, ' ') as words from f where size > 1
+), cut as (
+  select c.lang, c.phrase, c.size, c.a, c.words, k, l.a as l, r.a as r,
+    cast((2000000::hugeint * c.a) // (l.a + r.a) as bigint) as score
+  from cand c, (values (1), (2), (3)) s(k)
+  join f l on l.lang = c.lang and l.phrase = array_to_string(c.words[1:k], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(c.words[k + 1:], ' ')
+  where k < c.size
+), scored as (
+  select * from cut qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_ as (
+  select c.lang, array_to_string(c.words[b:b + n - 1], ' ') as phrase, max(a) as longer
+  from cand c, (values (1), (2), (3)) s(b), (values (2), (3)) t(n)
+  where n < c.size and b + n - 1 <= c.size group by all
+), kept as (
+  select s.* from scored s left join inner_ i using (lang, phrase)
+  where longer is null or 100::hugeint * longer < 80::hugeint * a
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select lang, cast(rank as integer) as rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
+"""
