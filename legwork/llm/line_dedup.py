@@ -111,7 +111,8 @@ def dropped_lines(keyed: DataFrame) -> DataFrame:
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     marked = landed(ranged.mapInArrow(_stream, ", ".join(f"{name} {kind}" for name, kind in keyed.dtypes)))
     certain = marked.where("hi is null").select("_a", "_b", "position")
-    edges = marked.where("position is null").groupBy("hi", "lo").agg(F.min("doc").alias("_first"))
+    # Two edges per partition of the sorted rows at most, so they are shared with all tasks.
+    edges = F.broadcast(marked.where("position is null").groupBy("hi", "lo").agg(F.min("doc").alias("_first")))
     waiting = marked.where("hi is not null and position is not null").join(edges, ["hi", "lo"])
     return certain.unionByName(waiting.where(~F.col("doc").eqNullSafe(F.col("_first"))).select("_a", "_b", "position"))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.llm import bpe, jaccard, language, line_dedup, packing, phrases, quality, secret_scan, token_counts, topk, urls, warc
+from legwork.llm import bpe, divergence, jaccard, language, line_dedup, packing, phrases, quality, secret_scan, token_counts, topk, urls, warc
 from legwork.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,3 +224,50 @@ with d as (
 )
 select lang, cast(rank as integer) as rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
 """
+
+
+@query
+def op11_divergence(spark, sf):
+    return divergence.divergence(_table(spark, sf, "documents"))
+
+
+ORACLE["op11_divergence"] = """
+with d as (
+  select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents
+), w as (
+  select id, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d
+), kept as (
+  select lang, term from w group by all having count(distinct id) >= 30
+), size as (
+  select lang, count(*) as v from kept group by all
+), groups as (
+  select distinct lang, source from d
+), n as (
+  select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all
+), totals as (
+  select lang, source, coalesce(sum(n), 0) as total from groups left join n using (lang, source) group by all
+), langs as (
+  select lang, sum(total) as total from totals group by all
+), p as (
+  select g.lang, g.source, k.term, coalesce(n.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(n.n, 0) + 5)) // (t.total + 5 * s.v) as p
+  from groups g join kept k using (lang) join size s using (lang) join totals t using (lang, source)
+  left join n using (lang, source, term)
+), q as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 5)) // (t.total + 5 * s.v) as q
+  from (select lang, term, sum(n) as n from n group by all) join size s using (lang) join langs t using (lang)
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item,
+    coalesce((select sum(abs(x.p - y.p)) from p x join p y using (lang, term)
+      where x.lang = a.lang and x.source = a.source and y.source = b.source), 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  union all
+  select lang, source, 'term', term, p - q from p join q using (lang, term) where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 50
+"""
