@@ -14,10 +14,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.operators.merge import merge_by_key
+from legwork.operators.merge import latest_by_key
+from legwork.session import work_dir
 
 PUBLISHED = "_published"
 BUCKET = "_bucket"
+#: Rows of the first load per bucket of a merged table, and its fewest buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 4_000_000, 64
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -30,66 +33,112 @@ def _folder(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
-def _latest(spark: SparkSession, path: str) -> int:
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the published lists, newest first."""
     fs, make = _folder(spark, path)
     folder = make(f"{path}/{PUBLISHED}")
     names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-    return max([int(name) for name in names if name.isdigit()], default=0)
+    return sorted((int(name) for name in names if name.isdigit()), reverse=True)
+
+
+def _latest(spark: SparkSession, path: str) -> int:
+    return next(iter(_numbers(spark, path)), 0)
 
 
 def _parts(spark: SparkSession, path: str) -> dict[str, str]:
-    """Current parts: bucket to folder; empty before the first publication."""
-    number = _latest(spark, path)
-    if not number:
-        return {}
-    lines = spark.read.text(f"{path}/{PUBLISHED}/{number:09d}", wholetext=True)
-    return json.loads(lines.first()[0])
+    """Current parts: bucket to folder; empty before the first publication.
+
+    A list that cannot be read, as a store without atomic renames may leave it after a
+    crash, was never current: the one before it is.
+    """
+    for number in _numbers(spark, path):
+        line = spark.read.text(f"{path}/{PUBLISHED}/{number:09d}", wholetext=True).first()
+        try:
+            return json.loads(line[0] if line else "")
+        except ValueError:
+            continue
+    return {}
 
 
 def _publish(spark: SparkSession, path: str, parts: dict[str, str], number: int) -> None:
-    """Make the parts current. Fails if another writer has published that number."""
+    """Make the parts current. Fails if another writer has published that number.
+
+    The list is written under another name and renamed, so it appears with its content.
+    """
     fs, make = _folder(spark, path)
-    out = fs.create(make(f"{path}/{PUBLISHED}/{number:09d}"), False)
+    fresh, final = make(f"{path}/{PUBLISHED}/_{uuid.uuid4().hex}"), make(f"{path}/{PUBLISHED}/{number:09d}")
+    out = fs.create(fresh, False)
     try:
         out.write(bytearray(json.dumps(parts).encode()))
     finally:
         out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(fs.makeQualified(final).toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(final), spark._sc._gateway.new_array(hadoop.Options.Rename, 0))
+
+
+def new_part() -> str:
+    return f"data-{uuid.uuid4().hex}"
+
+
+def publish_part(spark: SparkSession, path: str, part: str) -> None:
+    """Make a part that is written the table's only one."""
+    _publish(spark, path, {"": part}, _latest(spark, path) + 1)
+
+
+def current_part(spark: SparkSession, path: str) -> str:
+    """Folder of a table that is one part."""
+    return f"{path}/{_parts(spark, path)['']}"
 
 
 def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Make the rows the table's only ones."""
-    spark, number = df.sparkSession, _latest(df.sparkSession, path) + 1
-    part = f"data-{uuid.uuid4().hex}"
+    part = new_part()
     df.write.partitionBy(*(partition_by or [])).parquet(f"{path}/{part}")
-    _publish(spark, path, {"": part}, number)
+    publish_part(df.sparkSession, path, part)
 
 
-def merge_into(updates: DataFrame, path: str, keys: list[str], order: list[Column], buckets: int = 64) -> None:
+def merge_into(
+    updates: DataFrame,
+    path: str,
+    keys: list[str],
+    order: list[Column],
+    buckets: int | None = None,
+    bucket_by: list[str] | None = None,
+) -> None:
     """Update stored rows whose key exists and insert the others; the newest version wins.
 
-    Rows lie in buckets by a hash of the key. Only buckets that the updates touch are read
-    and written; all others keep their parts. The number of buckets is that of the first
-    load.
+    Rows lie in buckets by a hash of ``bucket_by``, the key unless given. Only buckets that
+    the updates touch are read and written, each as one file; all others keep their parts.
+    The number of buckets is that of the first load, by its rows unless given. The updates
+    are computed once and reduced to one row per key before they meet the stored rows.
     """
     spark, number = updates.sparkSession, _latest(updates.sparkSession, path) + 1
     parts = _parts(spark, path)
-    buckets = int(parts.get("buckets", buckets))
-    placed = updates.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    fresh = f"{work_dir(spark)}/updates"
+    latest_by_key(updates, keys, order).write.parquet(fresh)
+    fresh = spark.read.schema(updates.schema).parquet(fresh)
+    buckets = int(parts.get("buckets", buckets or max(LEAST_BUCKETS, -(-fresh.count() // BUCKET_ROWS))))
+    bucket = F.pmod(F.xxhash64(*(bucket_by or keys)), F.lit(buckets)).cast("int")
+    placed = fresh.withColumn(BUCKET, bucket)
     touched = {str(row[0]) for row in placed.select(BUCKET).distinct().collect()}
     known = [f"{path}/{parts[bucket]}" for bucket in sorted(touched) if bucket in parts]
     if known:
-        stored = spark.read.parquet(*known)
-        placed = merge_by_key(
-            stored.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), placed, [BUCKET, *keys], order
-        )
+        stored = spark.read.parquet(*known).withColumn(BUCKET, bucket)
+        together = stored.unionByName(placed, allowMissingColumns=True).repartition(BUCKET)
+        placed = latest_by_key(together, [BUCKET, *keys], order)
     else:
-        placed = merge_by_key(placed, placed.limit(0), [BUCKET, *keys], order)
-    part = f"data-{uuid.uuid4().hex}"
+        placed = placed.repartition(BUCKET)
+    part = new_part()
     placed.write.partitionBy(BUCKET).parquet(f"{path}/{part}")
     current = {**parts, **{bucket: f"{part}/{BUCKET}={bucket}" for bucket in touched}, "buckets": str(buckets)}
     _publish(spark, path, current, number)
 
 
+def is_published(spark: SparkSession, path: str) -> bool:
+    return bool(_parts(spark, path))
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     parts = {bucket: part for bucket, part in _parts(spark, path).items() if bucket != "buckets"}
     table = spark.read.parquet(*[f"{path}/{part}" for part in parts.values()] if parts else [path])

@@ -206,3 +206,54 @@ def test_crash_between_tables_shows_the_version_before(spark, tmp_path, monkeypa
     assert ingest.current_tables(spark, target)["legs"].count() == 3
     ingest.write_changes(scan_pages(spark, str(tmp_path / "q")), 1, target)
     assert ingest.current_tables(spark, target)["legs"].count() == 1
+
+
+def test_a_list_cut_short_by_a_crash_is_not_current(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(3), path)
+    for number, content in ((2, ""), (3, '{"": "data-')):
+        (tmp_path / "t" / tables.PUBLISHED / f"{number:09d}").write_text(content)
+        assert tables.read_table(spark, path).count() == 3
+    order = [F.desc("id")]
+    tables.replace(spark.range(5), path)
+    assert tables.read_table(spark, path).count() == 5
+    merged = str(tmp_path / "m")
+    tables.merge_into(spark.range(4), merged, ["id"], order, 2)
+    (tmp_path / "m" / tables.PUBLISHED / "000000002").write_text("")
+    tables.merge_into(spark.range(3, 6), merged, ["id"], order)
+    assert tables.read_table(spark, merged).count() == 6
+
+
+def test_a_second_writer_of_the_same_number_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(3), path)
+    with pytest.raises(Exception, match="already exists|FileAlreadyExists"):
+        tables._publish(spark, path, {"": "data-late"}, 1)
+    assert tables.read_table(spark, path).count() == 3
+    left = [p.name for p in (tmp_path / "t" / tables.PUBLISHED).iterdir() if p.name.isdigit()]
+    assert left == ["000000001"]
+
+
+def test_buckets_follow_the_first_load_and_are_one_file_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10)
+    path = str(tmp_path / "t")
+    tables.merge_into(spark.range(0, 1000, 1, 8), path, ["id"], [F.desc("id")])
+    parts = tables._parts(spark, path)
+    assert parts["buckets"] == "100"
+    for bucket, part in parts.items():
+        if bucket != "buckets":
+            assert len(list((tmp_path / "t" / part).glob("*.parquet"))) == 1
+
+
+def test_a_merge_computes_its_updates_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    updates = spark.range(0, 50, 1, 2).mapInPandas(count, "id long")
+    for _ in range(2):
+        tables.merge_into(updates, str(tmp_path / "t"), ["id"], [F.desc("id")], 4)
+    assert seen.value == 100
