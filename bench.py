@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from legwork.session import build_session  # noqa: E402
-from suite import learning  # noqa: E402, F401
+from suite import current, learning  # noqa: E402, F401
 from suite.registry import QUERIES, mart_fact  # noqa: E402
 from suite.staging import staged  # noqa: E402
 

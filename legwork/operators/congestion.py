@@ -107,3 +107,32 @@ def attach_congestion(legs: DataFrame, congestion: DataFrame) -> DataFrame:
     return legs.join(at_departure, ["departure_airport_code", "flight_schedule_date"], "left").join(
         at_arrival, ["arrival_airport_code", "arrival_date"], "left"
     )
+
+
+MOVEMENT = ["airport_code", "movement_date"]
+
+
+def congestion_changes(old_legs: DataFrame, new_legs: DataFrame) -> DataFrame:
+    """What legs that were replaced, and those that replace them, change per airport-day.
+
+    Returns ``airport_code, movement_date`` and the changes of both counts, of the
+    airport-days where one changes. A leg that moved, or went, is taken off where it was.
+    """
+    sides = []
+    for legs, sign in ((old_legs, -1), (new_legs, 1)):
+        counted = airport_congestion(legs, unique=True)
+        sides.append(counted.select(*MOVEMENT, *[(F.col(c) * sign).alias(c) for c in ("nb_departing", "nb_arriving")]))
+    changes = sides[0].unionByName(sides[1]).groupBy(*MOVEMENT)
+    changes = changes.agg(*[F.sum(c).alias(f"{c}_change") for c in ("nb_departing", "nb_arriving")])
+    return changes.where((F.col("nb_departing_change") != 0) | (F.col("nb_arriving_change") != 0))
+
+
+def changed_congestion(congestion: DataFrame, changes: DataFrame) -> DataFrame:
+    """New counts of exactly the airport-days that change; 0 and 0 where none is left."""
+    before = congestion.select(*[F.col(c).alias(f"_{c}") for c in MOVEMENT], "nb_departing", "nb_arriving")
+    same = F.lit(True)
+    for name in MOVEMENT:
+        same &= F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return changes.join(before, same, "left").select(
+        *MOVEMENT, *[(F.coalesce(c, F.lit(0)) + F.col(f"{c}_change")).alias(c) for c in ("nb_departing", "nb_arriving")]
+    )

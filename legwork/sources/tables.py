@@ -20,7 +20,7 @@ from legwork.session import work_dir
 PUBLISHED = "_published"
 BUCKET = "_bucket"
 #: Rows of the first load per bucket of a merged table, and its fewest buckets.
-BUCKET_ROWS, LEAST_BUCKETS = 4_000_000, 64
+BUCKET_ROWS, LEAST_BUCKETS = 4_000_000, 16
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

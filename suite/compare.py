@@ -12,6 +12,7 @@ from collections import Counter
 import duckdb
 from pyspark.sql import SparkSession
 
+import suite.current  # noqa: F401
 import suite.learning  # noqa: F401
 from suite.oracle import ORACLE
 from suite.registry import QUERIES

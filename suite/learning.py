@@ -133,11 +133,8 @@ def smote_neighbours(spark, sf):
     )
 
 
-@query
-def smote_balanced(spark, sf):
+def balance_report(balanced: DataFrame) -> DataFrame:
     """Rows per class, and whether each synthetic value lies within its class's range of the dimension."""
-    rows = _vectors(spark, sf)
-    balanced = oversample.balance_classes(rows, "leg_id", "vec", "label")
     values = balanced.select("label", "is_synthetic", F.posexplode("vec").alias("place", "x"))
     real = values.where("not is_synthetic").groupBy("label", "place").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     outside = (
@@ -150,6 +147,11 @@ def smote_balanced(spark, sf):
     return counts.join(outside, "label", "left").withColumn("nb_outside", F.coalesce("nb_outside", F.lit(0)))
 
 
+@query
+def smote_balanced(spark, sf):
+    return balance_report(oversample.balance_classes(_vectors(spark, sf), "leg_id", "vec", "label"))
+
+
 # ---- training: each model is fitted once per session ----
 
 

@@ -638,3 +638,86 @@ _DOCUMENT = [
     *(f"flightLegs[].{name}" for name in _LEG),
 ]
 ORACLE["column_inventory"] = f"select unnest({_DOCUMENT}) column_name from (select 1 from orders limit 1) o"
+
+ORACLE["search_stored"] = ORACLE["flight_search"]
+ORACLE["search_stored_departures"] = _sql(
+    f"""select leg_id, flight_id, {us('act_dep')} actual_departure, arr arrival_airport_code from lg
+    where cast(act_dep as timestamptz) >= timestamptz '2026-01-10 06:00:00+00' and cast(act_dep as timestamptz) < timestamptz '2026-01-10 18:00:00+00'
+    and dep = 'N03'"""
+)
+ORACLE["lookup_stored"] = _sql(
+    f"""select leg_id, flight_id, cast(flight_schedule_date as varchar) date_key, {us('sch_dep')} scheduled_departure, dep departure_airport_key
+    from lg where flight_id = '20260102+MA+0001'"""
+)
+ORACLE["star_fridays"] = _sql(
+    """select leg_id, airline_name, dep departure_airport_code, arr arrival_airport_code, cast(flight_schedule_date as varchar) date_key, is_delayed
+    from fa where dayname(flight_schedule_date) = 'Friday'"""
+)
+ORACLE["stream_current"] = _sql(
+    """select flight_id id, case when flight_number % 2 = 0 then 'UPDATED' else flight_status_public end flight_status_public,
+    case when flight_number % 2 = 0 then '2026-02-02 00:00:00' else '2026-02-01 00:00:00' end fetched_at,
+    coalesce(case when flight_number % 2 = 0 and n > 2 then 2 else n end, 0) nb_legs,
+    cast(case when flight_number % 2 = 0 then 0 else coalesce(k, 0) end as bigint) nb_delays
+    from fb left join (select ok, count(*) n, sum(case when late1 then 1 else 0 end + case when late2 then 1 else 0 end) k
+      from lg group by ok) r on r.ok = fb.ok"""
+)
+ORACLE["stream_congestion"] = _sql(
+    """select airport_code, cast(movement_date as varchar) movement_date, cast(sum(d) as bigint) nb_departing, cast(sum(a) as bigint) nb_arriving
+    from (select dep airport_code, flight_schedule_date movement_date, 1 d, 0 a from lg where flight_number % 2 = 1 or leg_order < 2
+      union all select arr, arr_date, 0, 1 from lg where flight_number % 2 = 1 or leg_order < 2) m group by 1, 2"""
+)
+ORACLE["smote_hashed"] = ORACLE["smote_balanced"]
+ORACLE["neighbour_recall"] = _sql(
+    VECTORS
+    + """ select cast(count(*) * least(count(*) - 1, 5) as bigint) nb_wanted, true reached
+    from (select distinct airline_code, aircraft, a1, a2, a3, a4, a5, a6, a7, a8, a9 from vc where late) z"""
+)
+ORACLE["describe_delay_exact"] = ORACLE["describe_delay"]
+ORACLE["quantiles_by_week"] = _sql(
+    """select cast((flight_schedule_date - date '2026-01-01') // 7 as int) "week", count(*) n, true "within" from lg group by 1"""
+)
+ORACLE["distinct_by_day"] = _sql(
+    " union all ".join(
+        f"""select {span} span, '{name}' column_name, cast(count(distinct {value}) + max(case when {value} is null then 1 else 0 end) as bigint) n_values
+        from lg{by}"""
+        for span, by in (("cast(flight_schedule_date as varchar)", " group by flight_schedule_date"), ("'all'", ""))
+        for name, value in (
+            ("airline_key", "airline_code"),
+            ("aircraft_type_code", "aircraft"),
+            ("departure_airport_key", "dep"),
+            ("arrival_airport_key", "arr"),
+        )
+    )
+)
+ORACLE["distinct_flights"] = _sql("select count(distinct flight_id) n_flights, true \"within\" from lg")
+ORACLE["join_guard_observed"] = ORACLE["join_guard"]
+ORACLE["counts_observed"] = ORACLE["table_counts"]
+#: Columns of the fact and what they are in SQL.
+_FACT = {
+    "leg_id": "leg_id", "flight_id": "flight_id", "flight_number": "flight_number", "airline_key": "airline_code",
+    "departure_airport_key": "dep", "arrival_airport_key": "arr", "date_key": "flight_schedule_date",
+    "scheduled_departure": "sch_dep", "actual_departure": "act_dep", "scheduled_arrival": "sch_arr", "actual_arrival": "act_arr",
+    "cancelled": "1", "delay_code": "codes", "delay_duration_minutes": "mins", "departure_delay_minutes": "dep_delay",
+    "arrival_delay_minutes": "arr_delay", "scheduled_flight_duration_min": "duration_min", "aircraft_type_code": "aircraft",
+    "departure_weekday": "1", "departure_month": "1", "departure_hour": "1", "departure_monthday": "1",
+    "dep_airport_nb_departing": "dd", "dep_airport_nb_arriving": "da", "arr_airport_nb_departing": "ad", "arr_airport_nb_arriving": "aa",
+    "is_delayed": "is_delayed",
+}
+ORACLE["missing_pct_all"] = _sql(
+    " union all ".join(
+        f"select '{name}' column_name, round(100 * avg(case when {value} is null then 1.0 else 0 end), 6) percentage from fa"
+        for name, value in _FACT.items()
+    )
+)
+ORACLE["cardinality_all"] = _sql(
+    " union all ".join(
+        f"select '{name}' column_name, count(distinct {value}) + max(case when {value} is null then 1 else 0 end) n_values from lg"
+        for name, value in {
+            "flight_id": "flight_id", "id": "leg_id", "departure_airport_code": "dep", "arrival_airport_code": "arr",
+            "published_status": "published_status", "scheduled_departure": "sch_dep", "actual_departure": "act_dep",
+            "scheduled_arrival": "sch_arr", "actual_arrival": "act_arr", "scheduled_flight_duration": "duration",
+            "aircraft_type_code": "aircraft", "airline_code": "airline_code", "airline_name": "airline_name",
+            "haul": "haul", "flight_status_public": "flight_status_public",
+        }.items()
+    )
+)

@@ -46,10 +46,15 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     )
 
 
-def landed_mart(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A mart table, built and written on its first use."""
+def landed_at(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder that ``write`` fills on its first use."""
     folder = f"{_folder(spark, sf_dir)}/{name}"
     if folder not in _marts:
-        replace(build(), folder)
+        write(folder)
         _marts.add(folder)
-    return read_table(spark, folder)
+    return folder
+
+
+def landed_mart(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A mart table, built and written on its first use."""
+    return read_table(spark, landed_at(spark, sf_dir, name, lambda path: replace(build(), path)))

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+import suite.current  # noqa: F401
 import suite.learning  # noqa: F401
 from suite.compare import connect, differences
 from suite.registry import QUERIES
