@@ -65,7 +65,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def hashes(words: Words, which: int = 0) -> np.ndarray:
     """64-bit polynomial hashes of the words, the same in every block; ``which`` picks one of two."""
-    n = 1 << max(BLOCK.bit_length() + 1, int(len(words.data)).bit_length())
+    n = 1 << max(BLOCK.bit_length(), int(len(words.data)).bit_length())
     up, down = _powers(int(_BASES[which]), n)
     sums = np.zeros(len(words.data) + 1, np.uint64)
     np.cumsum((words.data.astype(np.uint64) + np.uint64(1)) * up[: len(words.data)], out=sums[1:])
@@ -89,15 +89,20 @@ class WordTable:
             self.names.append(word)
         return found
 
-    def numbers(self, words: Words, at: np.ndarray, first_hash: np.ndarray) -> np.ndarray:
-        """Numbers of the words at the given places.
+    def numbers(self, words: Words, at: np.ndarray, first: np.ndarray, second: np.ndarray, most: int | None = None) -> np.ndarray | None:
+        """Numbers of the words at the given places, by both hashes of the block's words.
 
-        Words of a block are told apart by one hash, which a second one checks; where they
-        disagree, each word's bytes are looked up.
+        Words are told apart by the first hash, which the second one checks; where they
+        disagree, each word's bytes are looked up. Nothing is numbered, and None returned,
+        where the numbers might pass ``most``.
         """
-        found, first, codes = np.unique(first_hash[at], return_index=True, return_inverse=True)
-        second = hashes(words, 1)[at]
-        data = words.data.tobytes()
-        lookup = at[first] if np.array_equal(second, second[first][codes]) else at
-        ids = np.fromiter((self._number(data[s:e]) for s, e in zip(words.start[lookup].tolist(), words.end[lookup].tolist())), np.int64, len(lookup))
-        return ids[codes] if len(lookup) == len(found) and lookup is not at else ids
+        found, place, codes = np.unique(first[at], return_index=True, return_inverse=True)
+        checked = np.array_equal(second[at], second[at][place][codes])
+        lookup = at[place] if checked else at
+        spans = zip(words.start[lookup].tolist(), words.end[lookup].tolist())
+        data = memoryview(words.data)
+        named = [bytes(data[s:e]) for s, e in spans]
+        if most is not None and len(self) + len(lookup) > most and len(self._numbers.keys() | set(named)) > most:
+            return None
+        ids = np.fromiter(map(self._number, named), np.int64, len(lookup))
+        return ids[codes] if checked else ids

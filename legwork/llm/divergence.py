@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from legwork.llm.byte_words import Words, WordTable, blocks, hashes, words_of
 from legwork.llm.chars import mix
-from legwork.llm.recurring import counted, may_recur, recurring
+from legwork.llm.recurring import counted, may_recur, often, recurring
 from legwork.llm.storage import landed
 
 LEAST, TOP = 30, 50
@@ -76,7 +76,7 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, "key bigint, n bigint")
 
 
-def term_counts(docs: DataFrame, often) -> DataFrame:
+def term_counts(docs: DataFrame, often_terms) -> DataFrame:
     """``lang, source, term, n, n_docs`` of the terms that may be kept, combined within tasks."""
     names = ["lang", "source", "term", "n", "n_docs"]
 
@@ -95,11 +95,11 @@ def term_counts(docs: DataFrame, often) -> DataFrame:
             return pa.record_batch([*columns, pa.array(terms, pa.string()), pa.array(n.astype(np.int64)), pa.array(n_docs)], names)
 
         for words, plain, groups in _read(batches):
-            at = np.flatnonzero(may_recur(_keys(words, plain, groups), often.value))
+            at = np.flatnonzero(may_recur(_keys(words, plain, groups), often_terms.value))
             of = np.array([numbers.setdefault(group, len(numbers)) for group in groups], np.int64)
             opens = np.zeros(len(plain))
             opens[_first_in_text(words, plain)] = 1
-            held.append((of[words.text[at]] << 32 | table.numbers(words, at, plain), opens[at]))
+            held.append((of[words.text[at]] << 32 | table.numbers(words, at, plain, hashes(words, 1)), opens[at]))
             size += len(at)
             if size > COMBINED or len(table) > NAMES:
                 yield flush()
@@ -114,8 +114,9 @@ def term_counts(docs: DataFrame, often) -> DataFrame:
 def kept_counts(docs: DataFrame, least: int) -> DataFrame:
     """``lang, source, term, n`` of the terms that their language keeps."""
     spark = docs.sparkSession
-    often = spark.sparkContext.broadcast(recurring(document_counts(docs), least))
-    counts = landed(term_counts(docs, often).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")))
+    held = landed(document_counts(docs))
+    often_terms = spark.sparkContext.broadcast(recurring(often(held, least, held.count())))
+    counts = landed(term_counts(docs, often_terms).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")))
     kept = counts.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= least)
     return counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 BITS = 1 << 26
 _TURNS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
-#: Keys combined in a task before they leave it.
-COMBINED = 1 << 21
+#: Keys combined in a task before they leave it, and rows that a task adds up.
+COMBINED, ROWS_PER_TASK = 1 << 21, 4_000_000
 
 
 def spots(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -43,16 +43,36 @@ def counted(streams: Iterable[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def recurring(counts: DataFrame, least: int, bits: int = BITS) -> np.ndarray:
-    """The filter of keys counted ``least`` times; at most ``bits / 64`` rows reach the driver."""
+def often(counts: DataFrame, least: int, rows: int) -> DataFrame:
+    """Keys counted ``least`` times, of about so many rows ``key, n``.
+
+    The tasks have combined their counts, so rows are dealt out by key at once; each task
+    gets a bounded number and adds them up in one sort.
+    """
+
+    def add(batches):
+        held = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
+        if not held:
+            return
+        keys, n = (np.concatenate(part) for part in zip(*held))
+        found, codes = np.unique(keys, return_inverse=True)
+        total = np.zeros(len(found), np.int64)
+        np.add.at(total, codes, n)
+        yield pa.record_batch([pa.array(found[total >= least])], ["key"])
+
+    dealt = counts.select("key", "n").repartition(max(8, -(-rows // ROWS_PER_TASK)), "key")
+    return dealt.mapInArrow(add, "key bigint")
+
+
+def recurring(keys: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The filter of the keys; at most ``bits / 64`` rows reach the driver."""
 
     def place(batches):
         for batch in batches:
             bit = np.concatenate(spots(batch.column(0).to_numpy(), bits)).astype(np.int64)
             yield pa.record_batch([pa.array(bit >> 6), pa.array(np.left_shift(np.int64(1), bit & 63))], ["word", "mask"])
 
-    often = counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
-    placed = often.mapInArrow(place, "word bigint, mask bigint")
+    placed = keys.select("key").mapInArrow(place, "word bigint, mask bigint")
     table = placed.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     found = np.zeros(bits // 64, np.uint64)
     found[table.column("word").to_numpy()] = table.column("mask").to_numpy().view(np.uint64)

@@ -116,8 +116,9 @@ def test_words_are_told_apart_whatever_the_hash():
     for first, block in byte_words.blocks(texts, size=8):
         words = byte_words.words_of(block, inside)
         at = np.arange(len(words.start))
-        plain = table.numbers(words, at, byte_words.hashes(words))
-        again = table.numbers(words, at, np.zeros(len(at), np.uint64))  # every hash collides
+        second = byte_words.hashes(words, 1)
+        plain = table.numbers(words, at, byte_words.hashes(words), second)
+        again = table.numbers(words, at, np.zeros(len(at), np.uint64), second)  # every hash collides
         assert plain.tolist() == again.tolist()
         names = [table.names[i].decode() for i in plain.tolist()]
         assert names == [w for t in texts[first : first + len(block)] for w in re.findall(r"[^ \t\n]+", lower(t))]
@@ -134,7 +135,7 @@ def test_filter_never_denies(spark):
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
     counts = spark.createDataFrame([(int(k), i % 5) for i, k in enumerate(keys.view(np.int64))], "key long, n long")
-    words = recurring.recurring(counts, 3, bits=1 << 16)
+    words = recurring.recurring(recurring.often(counts, 3, 3000), bits=1 << 16)
     held = recurring.may_recur(keys, words)
     assert held[np.arange(3000) % 5 >= 3].all() and held.mean() < 0.6
 
@@ -142,25 +143,37 @@ def test_filter_never_denies(spark):
 # ---- phrases ----
 
 
+def packed(words):
+    return sum(w << (phrases.BITS * (phrases.LONGEST - 1 - i)) for i, w in enumerate(words))
+
+
 def test_trie_counts_and_leaves_whole_subtrees():
     rng = random.Random(4)
-    trie, want = phrases.Trie(burst=4, depth=2), Counter()
-    gone = Counter()
+    trie, want, gone = phrases.Trie(burst=4, depth=3), Counter(), Counter()
     for _ in range(4000):
-        window = tuple(rng.choice([1, 2, 3, 9]) for _ in range(rng.randint(1, 4)))
+        window = packed([rng.choice([1, 2, 3, 65_535]) for _ in range(rng.randint(1, 4))])
         n = rng.randint(1, 3)
         trie.add(window, n)
         want[window] += n
         if trie.size > 150:
-            for subtree in trie.leave(60):
-                assert len({w[0] for w, _ in subtree}) == 1
-                gone.update(dict(subtree))
+            left = trie.leave(60)
+            gone.update(dict(left))
+            opened = {w >> 48 for w, _ in left}
+            assert trie.size <= 60 and not opened & set(trie.root)
     assert any(type(child) is phrases.Node for child in trie.root.values())
-    for subtree in trie.leave(0):
-        gone.update(dict(subtree))
+    gone.update(dict(trie.leave(0)))
     assert gone == want and trie.size == 0 and not trie.root
 
 
+def test_runs_are_sorted_by_words():
+    names = [b"", b"b", b"a", "é".encode(), b"a\x01"]
+    entries = [(packed(w), n) for n, w in enumerate([(1,), (1, 2), (3, 1, 2, 4), (4, 4), (2,), (2, 3)], 1)]
+    run = phrases._run("en", entries, names)
+    rows = [tuple(run.column(f"w{i}")[j].as_py() for i in range(1, 5)) for j in range(len(run))]
+    assert rows == sorted(rows, key=lambda r: tuple((w or "").encode() for w in r))
+    assert run.column("n").to_pylist() == [5, 6, 4, 1, 2, 3]
+
+
 def plain_phrases(rows, least, share, top):
     f, n = defaultdict(Counter), Counter()
     for lang, text in rows:
@@ -194,7 +207,7 @@ def phrase_documents(seed):
     return rows + [("en", None), ("en", ""), ("de", " . ,"), rows[0], rows[0]]
 
 
-@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"FULL": 40}), (3, {"NAMES": 5}), (4, {"FULL": 0, "NAMES": 0})])
+@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"FULL": 40, "PENDING": 10}), (3, {"NAMES": 8}), (4, {"FULL": 0, "PENDING": 0, "NAMES": 12})])
 def test_phrases(spark, small_batches, monkeypatch, seed, limits):
     for name, value in limits.items():
         monkeypatch.setattr(phrases, name, value)
