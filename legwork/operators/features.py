@@ -9,6 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from fractions import Fraction
 
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,3 +199,48 @@ def add_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFra
     for row in class_weights(df, label).collect():
         weight = F.when(F.col(label).eqNullSafe(F.lit(row[label])), F.lit(row["weight"])).otherwise(weight)
     return df.withColumn(name, weight)
+
+
+def sparse_dummies(df: DataFrame, numeric: list[str], categorical: list[str], name: str = "features") -> tuple[DataFrame, list[str]]:
+    """The numbers and the dummies of all levels but each column's first, as one sparse vector, and its names.
+
+    A row costs its own levels, however many there are in all; null is all zeros.
+    """
+    indexed, hot, sliced = ([f"{c}_{kind}" for c in categorical] for kind in ("index", "hot", "dummies"))
+    rows = df.withColumns({c: F.col(c).cast("string") for c in categorical})
+    indexer = StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc").fit(rows)
+    stages = [OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True)]
+    names, parts = list(numeric), list(numeric)
+    for column, levels, source, target in zip(categorical, indexer.labelsArray, hot, sliced, strict=True):
+        if len(levels) > 1:
+            stages.append(VectorSlicer(inputCol=source, outputCol=target, indices=list(range(1, len(levels)))))
+            names += [f"{column}_{level}" for level in levels[1:]]
+            parts.append(target)
+    stages.append(VectorAssembler(inputCols=parts, outputCol=name))
+    made = indexer.transform(rows)
+    return Pipeline(stages=stages).fit(made).transform(made).drop(*indexed, *hot, *sliced), names
+
+
+def anova_f_sparse(df: DataFrame, features: str, label: str) -> np.ndarray:
+    """F statistic of each place of a vector column between the classes of a label.
+
+    One pass sums the vectors and their squares per class; the driver sees two numbers per
+    class and place. A place that is constant in every class has no F and is nan.
+    """
+    moments = Summarizer.metrics("count", "mean", "variance").summary(F.col(features))
+    classes = df.groupBy(label).agg(moments.alias("m")).select("m.*").collect()
+    n = np.array([c["count"] for c in classes], float)[:, None]
+    mean = np.stack([c["mean"].toArray() for c in classes])
+    within = sum((c["count"] - 1) * c["variance"].toArray() for c in classes)
+    between = (n * (mean - (n * mean).sum(0) / n.sum()) ** 2).sum(0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        found = (between / (len(classes) - 1)) / (within / (n.sum() - len(classes)))
+    return np.where(within > 0, found, np.nan)
+
+
+def best_sparse_features(df: DataFrame, numeric: list[str], categorical: list[str], label: str, k: int = 20) -> DataFrame:
+    """``feature, f_value`` of the k numbers and dummies with the largest F, in two passes for any number of levels."""
+    vectors, names = sparse_dummies(df, numeric, categorical)
+    f = anova_f_sparse(vectors, "features", label)
+    best = sorted((-v, name) for name, v in zip(names, f.tolist()) if v == v)[:k]
+    return df.sparkSession.createDataFrame([(name, -v) for v, name in best], "feature string, f_value double")

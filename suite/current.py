@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.operators import entities, hashed_neighbours, neighbours, oversample, quality, sketches
+from legwork.operators import entities, features, hashed_neighbours, neighbours, oversample, quality, sketches
 from legwork.operators.observed import guarded_join, write_counted
 from legwork.plans import mart, stored
 from legwork.session import work_dir
@@ -232,3 +232,14 @@ def cardinality_all(spark, sf):
     flights = staged(spark, sf, "flights").select(F.col("id").alias("flight_id"), "airline_code", "airline_name", "haul", "flight_status_public")
     rows = legs.join(flights, "flight_id")
     return quality.cardinality(rows, [name for name, kind in rows.dtypes if kind == "string"])
+
+
+# ---- features without a column per level ----
+
+
+@query
+def best_dummies_sparse(spark, sf):
+    """``best_dummies`` from sparse vectors."""
+    rows = features.prepare_numeric(mart_fact(spark, sf))
+    best = features.best_sparse_features(rows, features.NUMERIC_FEATURES, features.CATEGORICAL_FEATURES, "is_delayed", 20)
+    return best.withColumn("f_value", F.round("f_value", 4))

@@ -721,3 +721,4 @@ ORACLE["cardinality_all"] = _sql(
         }.items()
     )
 )
+ORACLE["best_dummies_sparse"] = ORACLE["best_dummies"]
