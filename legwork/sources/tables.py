@@ -45,13 +45,13 @@ def _latest(spark: SparkSession, path: str) -> int:
     return next(iter(_numbers(spark, path)), 0)
 
 
-def _parts(spark: SparkSession, path: str) -> dict[str, str]:
-    """Current parts: bucket to folder; empty before the first publication.
+def _parts(spark: SparkSession, path: str, at: int | None = None) -> dict[str, str]:
+    """Parts that are current, or were with number ``at``: bucket to folder; empty before the first publication.
 
     A list that cannot be read, as a store without atomic renames may leave it after a
     crash, was never current: the one before it is.
     """
-    for number in _numbers(spark, path):
+    for number in [at] if at else _numbers(spark, path) if at is None else []:
         line = spark.read.text(f"{path}/{PUBLISHED}/{number:09d}", wholetext=True).first()
         try:
             return json.loads(line[0] if line else "")
@@ -105,16 +105,19 @@ def merge_into(
     order: list[Column],
     buckets: int | None = None,
     bucket_by: list[str] | None = None,
-) -> None:
+    onto: int | None = None,
+) -> int:
     """Update stored rows whose key exists and insert the others; the newest version wins.
 
     Rows lie in buckets by a hash of ``bucket_by``, the key unless given. Only buckets that
     the updates touch are read and written, each as one file; all others keep their parts.
     The number of buckets is that of the first load, by its rows unless given. The updates
     are computed once and reduced to one row per key before they meet the stored rows.
+    They are merged into the rows as of number ``onto`` (0: none), the current ones unless
+    given. Returns the number of the new rows.
     """
     spark, number = updates.sparkSession, _latest(updates.sparkSession, path) + 1
-    parts = _parts(spark, path)
+    parts = _parts(spark, path, onto)
     fresh = f"{work_dir(spark)}/updates"
     latest_by_key(updates, keys, order).write.parquet(fresh)
     fresh = spark.read.schema(updates.schema).parquet(fresh)
@@ -133,14 +136,16 @@ def merge_into(
     placed.write.partitionBy(BUCKET).parquet(f"{path}/{part}")
     current = {**parts, **{bucket: f"{part}/{BUCKET}={bucket}" for bucket in touched}, "buckets": str(buckets)}
     _publish(spark, path, current, number)
+    return number
 
 
 def is_published(spark: SparkSession, path: str) -> bool:
     return bool(_parts(spark, path))
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    parts = {bucket: part for bucket, part in _parts(spark, path).items() if bucket != "buckets"}
+def read_table(spark: SparkSession, path: str, columns: list[str] | None = None, at: int | None = None) -> DataFrame:
+    """The current rows, or those as of number ``at``."""
+    parts = {bucket: part for bucket, part in _parts(spark, path, at).items() if bucket != "buckets"}
     table = spark.read.parquet(*[f"{path}/{part}" for part in parts.values()] if parts else [path])
     return table.select(*columns) if columns else table
 

@@ -9,6 +9,8 @@ from legwork.operators import entities, features, hashed_neighbours, neighbours,
 from legwork.operators.observed import guarded_join, write_counted
 from legwork.plans import mart, stored
 from legwork.session import work_dir
+from legwork.sources import ledger
+from legwork.sources.documents import documents_from_payload
 from legwork.sources.tables import read_table, replace
 from legwork.streaming import current
 from legwork.streaming.ingest import stream_documents
@@ -243,3 +245,49 @@ def best_dummies_sparse(spark, sf):
     rows = features.prepare_numeric(mart_fact(spark, sf))
     best = features.best_sparse_features(rows, features.NUMERIC_FEATURES, features.CATEGORICAL_FEATURES, "is_delayed", 20)
     return best.withColumn("f_value", F.round("f_value", 4))
+
+
+# ---- loads that remember their windows ----
+
+
+def _remembered(spark: SparkSession, sf: str) -> str:
+    """Two runs over pages of some fifty flights by schedule day; the first cannot have a third of its pages."""
+
+    def load(folder: str) -> None:
+        docs = _docs(spark, sf).withColumn("day", F.col("flightScheduleDate"))
+        sizes = docs.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / 50).cast("int").alias("total_pages"))
+        content = [c for c in docs.columns if c not in ("fetched_at", "day")]
+        page = F.pmod(F.xxhash64("id"), F.col("total_pages")).cast("int").alias("page_number")
+        placed = docs.join(sizes, "day").select("day", page, F.struct(*content).alias("doc"))
+        body = F.to_json(F.struct(F.lit("2026-02-01 00:00:00").alias("fetchedAt"), F.collect_list("doc").alias("operationalFlights")))
+        placed.groupBy("day", "page_number").agg(body.alias("body")).write.parquet(f"{folder}/pages")
+        sizes.write.parquet(f"{folder}/sizes")
+        pages, sizes = spark.read.parquet(f"{folder}/pages"), spark.read.parquet(f"{folder}/sizes")
+        day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+
+        def count(windows: DataFrame) -> DataFrame:
+            return windows.select("*", day).join(sizes, "day", "left").fillna(0, ["total_pages"])
+
+        def fetch(plan: DataFrame, whole: bool) -> DataFrame:
+            found = plan.select("*", day).join(pages, ["day", "page_number"])
+            return found if whole else found.where("page_number % 3 <> 1")
+
+        for now, whole in (("2026-01-17 00:00:00", False), ("2026-02-01 00:00:00", True)):
+            ledger.run_load(spark, f"{folder}/load", count, lambda plan, whole=whole: fetch(plan, whole), now, "2025-12-31")
+
+    return f"{landed_at(spark, sf, 'remembered', load)}/load"
+
+
+@query
+def ledger_load(spark, sf):
+    """Flights after both runs: every one once."""
+    docs = documents_from_payload(ledger.read_loaded(spark, _remembered(spark, sf)))
+    return docs.select("id", F.col("airline.name").alias("airline_name"), F.size("flightLegs").alias("nb_legs"))
+
+
+@query
+def ledger_pages(spark, sf):
+    """Pages per window, by status and run."""
+    pages = ledger.read_ledger(spark, _remembered(spark, sf))
+    day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+    return pages.groupBy(day, "status", "run").agg(F.count(F.lit(1)).alias("n"))

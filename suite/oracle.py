@@ -722,3 +722,14 @@ ORACLE["cardinality_all"] = _sql(
     )
 )
 ORACLE["best_dummies_sparse"] = ORACLE["best_dummies"]
+ORACLE["ledger_load"] = _sql(
+    """select flight_id id, airline_name, cast(n as int) nb_legs from fb left join (select ok, count(*) n from lg group by ok) r on r.ok = fb.ok"""
+)
+ORACLE["ledger_pages"] = _sql(
+    """, pages as (select cast(flight_schedule_date as varchar) "day", cast(ceil(count(*) / 50.0) as bigint) k from fb group by 1)
+    select "day", status, run, count(*) n from (
+      select "day", 'landed' status, case when "day" < '2026-01-17' and page % 3 <> 1 then 1 else 2 end run
+      from (select "day", unnest(range(k)) page from pages) p
+      union all select '2025-12-31', 'empty', 1
+    ) z group by all"""
+)
