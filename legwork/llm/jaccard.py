@@ -263,13 +263,22 @@ def open_pairs(buckets: DataFrame, placed: DataFrame, prefixes: DataFrame) -> Da
     return across.union(apart.where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b"))).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id``: the smallest key that links lead to."""
+#: Tells rows with one key and different texts apart.
+_CONTENT = "_content"
+
+
+def _content(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Each row's ``key, n, set_id, _content``, and ``set_id, part, component_id`` of all sets with shingles."""
     spark = docs.sparkSession
     rows = docs.select(key, text)
     frequent = frequent_shingles(rows, text, rows.count())
     sets = landed(
-        rows.select(key, described(F.col(text), frequent, spark).alias("s")).select(key, "s.*", F.monotonically_increasing_id().alias("row"))
+        rows.select(key, _content(text).alias(_CONTENT), described(F.col(text), frequent, spark).alias("s"))
+        .select(key, _CONTENT, "s.*", F.monotonically_increasing_id().alias("row"))
     )
     filled = sets.where((F.col("n") > 0) & F.col(key).isNotNull())
     nodes = filled.groupBy("set_id").agg(F.min(F.struct(key, "row")).alias("_first"), F.min("n").alias("n"), F.min("prefix_id").alias("prefix_id"))
@@ -297,14 +306,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     parts = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "first_key", F.coalesce("label", "set_id").alias("part"))
     smallest = parts.groupBy("part").agg(F.min("first_key").alias("component_id"))
-    named = parts.join(smallest, "part").select("set_id", "component_id")
-    found = sets.select(key, "n", "set_id").join(named, "set_id", "left")
+    return sets.select(key, "n", "set_id", _CONTENT), parts.join(smallest, "part").select("set_id", "part", "component_id")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_shingles, component_id``: the smallest key that links lead to."""
+    sets, named = _components(docs, key, text)
+    found = sets.join(named, "set_id", "left")
     return found.select(key, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(key)).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, that with the smallest key; rows without a key stay."""
-    found = near_duplicates(docs, key, text)
-    first = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    kept = docs.join(first, key, "left_semi")
-    return kept.dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))
+    """One document of each component: of those with its smallest key, the one with the smallest hashes.
+
+    Rows that share a key but whose texts are not linked are all kept, and so is a text
+    without words; equal rows are one. Rows without a key stay as they are.
+    """
+    sets, named = _components(docs, key, text)
+    sets = sets.where(F.col(key).isNotNull())
+    first = F.min(F.struct(key, "set_id", _CONTENT)).alias("_first")
+    kept = sets.where("n > 0").join(named, "set_id").groupBy("part").agg(first).select(f"_first.{key}", f"_first.{_CONTENT}")
+    kept = kept.unionByName(sets.where("n = 0").select(key, _CONTENT)).distinct()
+    rows = docs.where(F.col(key).isNotNull()).withColumn(_CONTENT, _content(text)).join(kept, [key, _CONTENT], "left_semi")
+    return rows.dropDuplicates([key, _CONTENT]).drop(_CONTENT).select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -95,6 +95,15 @@ def test_op5_odd_rows(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0 and jaccard.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_loses_no_text(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (4, None), (4, ""), (5, "a"), (5, "b"), (5, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 as n", "8 as set_id")
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, a), (1, b), (4, ""), (5, "a"), (5, "b")]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)
@@ -182,6 +191,17 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.read_records(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_archive_keeps_pages_without_a_key(spark, tmp_path):
+    rows = [(None, "u", "z" * 2000), (None, "v", "z" * 2000), (1, "w", "y" * 2000), (None, "w", "y" * 2000)]
+    folder = str(tmp_path / "archive")
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    records = warc.read_records(spark, folder)
+    assert sorted(bytes(r.payload)[:1] for r in records.collect()) == [b"y", b"y", b"z", b"z"]
+    found = warc.page_records(records)
+    assert sorted((r.page_id or 0, r.record_type, r.payload_bytes) for r in found.collect()) == [(0, "response", 2000)] * 3 + [(1, "response", 2000)]
+    assert "payload" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
