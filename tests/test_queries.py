@@ -20,7 +20,7 @@ def con():
 def test_query(spark, con, name):
     problem, rows = differences(spark, con, SF_DIR, name)
     assert problem is None
-    assert rows > 0 or name.startswith("flight_search")  # few flights match at this size
+    assert rows > 0 or "search" in name  # few flights match at this size
 
 
 def test_entry_is_lazy_and_stable(spark):
