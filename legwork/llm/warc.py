@@ -85,32 +85,30 @@ def write_archive(
     # Payloads that occur once stay where they are; only those that may be copies move
     copied = rows.groupBy("digest").agg(F.count("*").alias("_n")).where("_n > 1").select("digest")
     body = rows.select("page_id", "digest", "payload").withColumn("_copied", maybe_in("digest", copied))
-    apart = body.where("_copied").join(owners.select("digest", F.col("owner").alias("page_id")), ["digest", "page_id"], "left_semi")
+    held = owners.select(F.col("digest").alias("_digest"), "owner")
+    apart = body.where("_copied").join(held, (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("owner")), "left_semi")
     once = apart.dropDuplicates(["digest"]).select("digest", "payload")
     body.where("not _copied").select("digest", "payload").unionByName(once).write.parquet(f"{path}/payloads")
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Stored payloads with their length and SHA-1; reading one whose bytes do not match its digest fails."""
+    """Stored payloads; reading one whose bytes do not match its digest fails."""
     rows = spark.read.parquet(f"{path}/payloads")
     sound = F.sha2("payload", 256) == F.col("digest")
     checked = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest")))
-    return rows.select("digest", checked.alias("payload")).select(
-        "digest", "payload", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_sha1")
-    )
+    return rows.select("digest", checked.alias("payload"))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, header, payload, record``: the full payload of each page and its record's bytes.
 
-    ``payload_bytes`` and ``payload_sha1`` are taken from the verified payload before the
-    join, so a reader of these alone moves no payloads.
+    Payloads are verified before the join that brings them to their headers.
     """
     headers = spark.read.parquet(f"{path}/headers")
     rows = headers.join(read_payloads(spark, path), "digest")
     body = F.when(header_field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
     record = F.concat(F.encode("header", "UTF-8"), body, F.lit(LINE_END * 2).cast("binary"))
-    return rows.select("page_id", "header", "payload", "payload_bytes", "payload_sha1", record.alias("record"))
+    return rows.select("page_id", "header", "payload", record.alias("record"))
 
 
 def header_field(name: str, header: Column | str = "header") -> Column:
@@ -119,14 +117,27 @@ def header_field(name: str, header: Column | str = "header") -> Column:
     return F.when(F.regexp_like(header, F.lit(rf"(?m)^{name}: ")), found)
 
 
+def record_body() -> Column:
+    """The bytes between a record's header and its end, from ``header`` and ``record``."""
+    start = F.octet_length(F.encode("header", "UTF-8"))
+    return F.substring("record", start + 1, F.octet_length("record") - start - 2 * len(LINE_END))
+
+
 def page_records(records: DataFrame) -> DataFrame:
-    """What the records say of each page, checked against the payload they lead to."""
+    """What the rebuilt records say of each page, checked against their own bytes.
+
+    A response's length and digest are taken from the body of its record, a revisit's from
+    the payload of the record it refers to.
+    """
+    revisit = header_field("WARC-Type") == "revisit"
+    rows = records.withColumn("_body", record_body())
+    payload = F.when(revisit, F.col("payload")).otherwise(F.col("_body"))
+    rows = rows.withColumns({"payload_bytes": F.octet_length(payload).cast("bigint"), "payload_sha1": F.sha1(payload)})
     said = F.regexp_replace(header_field("WARC-Payload-Digest"), "^sha1:", "")
-    length = F.when(header_field("WARC-Type") == "revisit", F.lit(0)).otherwise(F.col("payload_bytes"))
-    agree = (said == F.col("payload_sha1")) & (header_field("Content-Length") == length.cast("string"))
+    agree = (said == F.col("payload_sha1")) & (header_field("Content-Length") == F.octet_length("_body").cast("string"))
     checked = F.when(agree, said).otherwise(F.raise_error(F.lit("record and payload disagree")))
     target = F.regexp_extract(header_field("WARC-Refers-To"), r"^<urn:page:(.*)>$", 1)
-    return records.select(
+    return rows.select(
         "page_id",
         "payload_bytes",
         checked.alias("payload_digest"),
