@@ -14,7 +14,7 @@ import numpy as np
 
 from legwork.llm.chars import mix
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -54,7 +54,6 @@ def words_of(block: list[bytes], inside: np.ndarray) -> Words:
     return Words(data, start, end, np.searchsorted(ends, start, side="right"), len(block))
 
 
-@lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse modulo 2**64."""
     up = np.full(n, base, np.uint64)
@@ -63,10 +62,14 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+_block_powers = lru_cache(maxsize=len(_BASES))(_powers)
+
+
 def hashes(words: Words, which: int = 0) -> np.ndarray:
     """64-bit polynomial hashes of the words, the same in every block; ``which`` picks one of two."""
-    n = 1 << max(BLOCK.bit_length(), int(len(words.data)).bit_length())
-    up, down = _powers(int(_BASES[which]), n)
+    # Only the powers that a block usually needs are kept.
+    n = len(words.data)
+    up, down = _block_powers(int(_BASES[which]), 2 * BLOCK) if n <= 2 * BLOCK else _powers(int(_BASES[which]), n)
     sums = np.zeros(len(words.data) + 1, np.uint64)
     np.cumsum((words.data.astype(np.uint64) + np.uint64(1)) * up[: len(words.data)], out=sums[1:])
     return mix((sums[words.end] - sums[words.start]) * down[words.start])

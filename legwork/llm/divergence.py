@@ -35,8 +35,9 @@ from legwork.llm.storage import landed
 
 LEAST, TOP = 30, 50
 SCALE, PRIOR = 1_000_000_000, 5
-#: Terms of a segment, and sources whose counts order the vocabulary. Both only set the work.
-SEGMENT, LEADING = 1 << 15, 16
+#: Terms of a segment, sources whose counts order the vocabulary, and sources that meet at once.
+#: They only set the work and its memory.
+SEGMENT, LEADING, BLOCK = 1 << 13, 16, 16
 #: Entries that a task combines before they leave it, and words that it numbers.
 COMBINED, NAMES = 1 << 20, 400_000
 
@@ -204,19 +205,20 @@ def _meet(low: int, left, right) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return ends, np.diff(ends, prepend=low), np.searchsorted(a, ends), np.searchsorted(b, ends)
 
 
-def distance(low: Column, left: Column, right: Column) -> Column:
-    """Sum of ``|p - q|`` over a segment."""
-
-    @F.arrow_udf("bigint")
-    def add(lows: pa.Array, lefts: pa.Array, rights: pa.Array) -> pa.Array:
-        found = []
-        for at, one, two in zip(lows.to_pylist(), lefts, rights):
-            _, lengths, i, j = _meet(at, one, two)
-            p, q = one["p"].values.to_numpy()[i], two["p"].values.to_numpy()[j]
-            found.append(int((np.abs(p - q) * lengths).sum()))
-        return pa.array(found, pa.int64())
-
-    return add(low, left, right)
+def _distances(lang: str, rows: pa.Table, same: bool) -> pa.Table:
+    """Sum of ``|p - q|`` over a segment, of the pairs within one block of sources or across two."""
+    rows = rows.sort_by("place").combine_chunks()
+    blocks, sources = rows.column("block").to_pylist(), rows.column("source").to_pylist()
+    runs, low = rows.column("runs").combine_chunks(), rows.column("low").to_pylist()
+    found = []
+    for i in range(len(rows)):
+        for j in range(i + 1, len(rows)):
+            if same or blocks[i] != blocks[j]:
+                _, lengths, x, y = _meet(low[i], runs[i], runs[j])
+                p, q = runs[i]["p"].values.to_numpy()[x], runs[j]["p"].values.to_numpy()[y]
+                found.append((sources[i], sources[j], int((np.abs(p - q) * lengths).sum())))
+    columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))]
+    return pa.table([pa.array([lang] * len(found), pa.string()), *columns], ["lang", "source", "item", "value"])
 
 
 def excesses(low: Column, left: Column, right: Column) -> Column:
@@ -238,16 +240,24 @@ def excesses(low: Column, left: Column, right: Column) -> Column:
 def pair_distances(columns: DataFrame, groups: DataFrame) -> DataFrame:
     """``lang, source, item, value`` of all ordered pairs of a language's sources.
 
-    Segments are met one by one and added up; no task sees more than two columns of one.
+    Sources lie in blocks of ``BLOCK``. A task meets the columns of two blocks in one
+    segment at a time, so a column moves once per block and not once per pair.
     """
-    own = columns.where("source is not null")
-    left = own.select("lang", "segment", "source", "low", F.col("runs").alias("_left"))
-    right = own.select("lang", "segment", F.col("source").alias("item"), F.col("runs").alias("_right"))
-    met = left.join(right, ["lang", "segment"]).where("source < item")
-    sums = met.select("lang", "source", "item", distance(F.col("low"), F.col("_left"), F.col("_right")).alias("value"))
+    block = F.floor((F.col("place") - 1) / BLOCK).cast("int")
+    named = groups.where("source is not null").select("lang", "source", "place", block.alias("block"))
+    last = named.groupBy("lang").agg(F.max("block").alias("_last"))
+    own = columns.where("source is not null").join(named, ["lang", "source"]).join(last, "lang")
+    met = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    met = met.withColumns({"_a": F.least("block", "_other"), "_b": F.greatest("block", "_other")})
+
+    def meet(key, table):
+        return _distances(key[0].as_py(), table, key[2] == key[3])
+
+    sums = met.select("lang", "segment", "_a", "_b", "source", "place", "block", "low", "runs").groupBy("lang", "segment", "_a", "_b")
+    sums = sums.applyInArrow(meet, "lang string, source string, item string, value bigint")
     sums = landed(sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")))
     both = sums.unionByName(sums.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value"))
-    names = groups.where("source is not null").select("lang", "source")
+    names = named.select("lang", "source")
     pairs = names.join(names.withColumnRenamed("source", "item"), "lang").where("source <> item")
     return pairs.join(both, ["lang", "source", "item"], "left").fillna(0, ["value"])
 

@@ -260,7 +260,7 @@ def divergence_documents(seed):
     return rows + [("de", "only", "one two"), ("de", "other", None), ("xx", None, ""), rows[0], rows[0]]
 
 
-@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"SEGMENT": 4}), (3, {"LEADING": 1, "COMBINED": 10}), (4, {"SEGMENT": 1, "NAMES": 3})])
+@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"SEGMENT": 4}), (3, {"LEADING": 1, "COMBINED": 10, "BLOCK": 2}), (4, {"SEGMENT": 1, "NAMES": 3})])
 def test_divergence(spark, small_batches, monkeypatch, seed, limits):
     for name, value in limits.items():
         monkeypatch.setattr(divergence, name, value)
