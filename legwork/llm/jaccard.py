@@ -32,11 +32,16 @@ from legwork.llm.storage import landed
 WORDS = 5
 #: The least similarity as a fraction.
 SIMILAR, OF = 4, 5
-#: A shingle in more than this part of the documents is frequent. So there are at most
-#: ``FREQUENT`` times as many as a document has on average, whatever the corpus.
+#: About so many shingles, the most frequent, are put in order by how many documents hold
+#: them; the rest come first, by their hash.
+ORDERED = 1 << 20
+#: A shingle in more than this part of the documents is in the order in any case. There are
+#: at most ``FREQUENT`` times as many as a document has on average, whatever the corpus.
 FREQUENT = 2_000
 #: Shingles counted together before they leave a task, and the least count that leaves it.
-COUNTED, LEAST = 1 << 22, 3
+COUNTED, LEAST = 1 << 22, 2
+#: Steps by which the least count of an ordered shingle grows when it doubles.
+LEVELS = 8
 
 #: Buckets of at least so many groups are first joined through pivots, in so many turns.
 CROWD, TURNS = 8, 2
@@ -67,10 +72,11 @@ def _digest(values: np.ndarray, seed: int = 0) -> int:
 
 
 def frequent_shingles(docs: DataFrame, text: str, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in more than a ``FREQUENT``-th of the documents, ascending, and how many hold each.
+    """The ``ORDERED`` most frequent shingles, ascending, and how many documents hold each.
 
     Each task counts all its shingles and reports those that recur; a frequent one recurs
     in some task. The counts only order shingles, so what a task leaves out costs no link.
+    The driver sees the counts by level and the shingles that are put in order.
     """
 
     def count(batches):
@@ -92,7 +98,15 @@ def frequent_shingles(docs: DataFrame, text: str, n_docs: int) -> tuple[np.ndarr
             yield flush()
 
     counts = docs.select(text).mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    table = counts.where(F.col("n") > max(LEAST, n_docs / FREQUENT)).toArrow()
+    counts = landed(counts.withColumn("level", F.floor(F.log2("n") * LEVELS)))
+    lowest, held = None, 0
+    for level, n in sorted(counts.groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True):
+        held += n
+        if held > ORDERED:
+            break
+        lowest = level
+    in_order = F.col("n") > n_docs / FREQUENT
+    table = counts.where(in_order if lowest is None else in_order | (F.col("level") >= lowest)).select("shingle", "n").toArrow()
     found, n = table.column("shingle").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(found)
     return found[order], n[order]
@@ -102,7 +116,7 @@ _SET = "struct<n: bigint, set_id: bigint, prefix_id: bigint, n_rare: int, prefix
 
 
 def described(text: Column, frequent: tuple[np.ndarray, np.ndarray], spark) -> Column:
-    """Size, identity and ordered prefix of each text's set; ``n_rare`` of the prefix are not frequent."""
+    """Size, identity and ordered prefix of each text's set; ``n_rare`` of the prefix are not in the order of frequency."""
     shared = spark.sparkContext.broadcast(frequent)
 
     @F.arrow_udf(_SET)

@@ -70,9 +70,10 @@ def near_copies(seed, families=12):
     return list(enumerate(rows, 100))
 
 
-@pytest.mark.parametrize("seed, frequent", [(1, 2000), (2, 10), (3, 20), (4, 2000)])
-def test_near_duplicates(spark, monkeypatch, seed, frequent):
+@pytest.mark.parametrize("seed, frequent, ordered", [(1, 2000, 0), (2, 10, 0), (3, 20, 50), (4, 2000, 1 << 20)])
+def test_near_duplicates(spark, monkeypatch, seed, frequent, ordered):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "ORDERED", ordered)
     rows = near_copies(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "2 as set_id", "3 as gid")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()}
