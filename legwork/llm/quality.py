@@ -20,16 +20,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwork.llm.chars import code_points, mix, slices
-from legwork.llm.storage import free_name
+from legwork.llm.storage import free_name, landed
 
 #: Labelled rows used at most; a quarter of them calibrates.
 TRAIN_ROWS = 8_000
-#: Tasks that hold them; each returns a gradient of all buckets in every step.
+#: Tasks that hold them once they are selected; each returns a gradient of all buckets in every step.
 TRAIN_TASKS = 8
 WORD_BUCKETS = 1 << 16
 CHAR_BUCKETS = 1 << 16
@@ -125,8 +126,7 @@ def platt(rows: DataFrame, margin: str, label: str) -> tuple[float, float]:
     seen = {r[0]: r[1] for r in rows.groupBy(F.col(label).cast("int")).agg(F.count("*")).collect() if r[0] is not None}
     if len(seen) < 2:
         return 0.0, (-5.0 if 0 in seen else 5.0)
-    vector = F.udf(lambda x: DenseVector([x]), VectorUDT())
-    points = rows.select(vector(F.col(margin)).alias("features"), F.col(label).cast("double").alias("label"))
+    points = rows.select(array_to_vector(F.array(F.col(margin).cast("double"))).alias("features"), F.col(label).cast("double").alias("label"))
     fitted = LogisticRegression(regParam=1e-4, standardization=True).fit(points)
     return float(fitted.coefficients[0]), float(fitted.intercept)
 
@@ -144,27 +144,36 @@ def train(
     n = agreed.count()
     chance = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("quality")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = agreed.where(chance < min(1.0, max_rows / max(1, n))).select(key, "_label")
-    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col(key).cast("string")), F.lit(4))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("_key").cast("string")), F.lit(4))
     vector = F.udf(feature_vector, VectorUDT())
-    rows = (
-        docs.select(key, text)
-        .join(F.broadcast(chosen), key)  # at most about max_rows rows
-        .select(vector(F.col(text)).alias("features"), F.col("_label").cast("double").alias("label"), fold.alias("_fold"))
-        .coalesce(TRAIN_TASKS)
-        .persist()
+    rows = landed(
+        docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
+        .join(F.broadcast(chosen.withColumnRenamed(key, "_key")), "_key")  # at most about max_rows rows
+        .select("text", F.col("_label").cast("double").alias("label"), fold.alias("_fold"))
     )
+    fit = rows.where("_fold != 0").select(vector("text").alias("features"), "label").coalesce(TRAIN_TASKS).persist()
     try:
-        fit, rest = rows.where("_fold != 0"), rows.where("_fold = 0")
         if fit.select("label").distinct().count() < 2:
             return QualityModel(np.zeros(N_BUCKETS), 0.0, 0.0, 5.0)
-        model = LogisticRegression(maxIter=40, regParam=1e-4, standardization=False).fit(fit)
-        weights, intercept = model.coefficients.toArray(), float(model.intercept)
-        shared = docs.sparkSession.sparkContext.broadcast(weights)
-        margin = F.udf(lambda v: float(shared.value[v.indices] @ v.values) + intercept, "double")
-        slope, offset = platt(rest.select(margin("features").alias("margin"), "label"), "margin", "label")
-        return QualityModel(weights.astype(np.float32), intercept, slope, offset)
+        fitted = LogisticRegression(maxIter=40, regParam=1e-4, standardization=False).fit(fit)
     finally:
-        rows.unpersist()
+        fit.unpersist()
+    model = QualityModel(fitted.coefficients.toArray().astype(np.float32), float(fitted.intercept), 1.0, 0.0)
+    rest = rows.where("_fold = 0").select(margins_of(F.col("text"), model, docs.sparkSession).alias("margin"), "label")
+    model.slope, model.offset = platt(rest, "margin", "label")
+    return model
+
+
+def margins_of(text: Column, model: QualityModel, spark) -> Column:
+    """The classifier's margin of each text."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def margins(texts: pa.Array) -> pa.Array:
+        found = [t.as_py() or "" for t in texts]
+        return pa.array([shared.value.margin(t, t.encode("utf-8", "surrogatepass").split()) for t in found], pa.float64())
+
+    return margins(text)
 
 
 _FIELDS = [("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint"), ("probability", "double")]
