@@ -19,12 +19,13 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Documents searched for training windows at most, by a hash of their key, and of these with and without a match.
-POOL_DOCS = 30_000
+#: Documents with a match, of all that have one, and documents without that train at most, by a hash of their key.
 TRAIN_DOCS = 1_000
+#: Those without a match are looked for among this many times as many documents.
+SEARCHED = 30
 #: Tokens on each side of a match, and windows of one document, that train.
 AROUND, WINDOWS = 16, 2
 STEPS = 100
@@ -42,6 +43,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")
+#: Every text with a match has one of these.
+MAYBE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
 KINDS = ("assign", "access", "hex", "tagged")
 _KEYS = ("passw", "secret", "token", "api")
 
@@ -331,10 +334,12 @@ def fit(windows: list[tuple[list[str], list[int], list[int]]]) -> Field:
     return Field(weights.astype(np.float32), params[-9:].reshape(3, 3), vocabulary)
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs: int = TRAIN_DOCS) -> Field:
-    """The field from windows of at most ``max_docs`` documents with a match and as many without.
+def training_rows(docs: DataFrame, key: str, text: str, max_docs: int) -> DataFrame:
+    """``tokens, tags, file`` of the windows of at most ``max_docs`` documents with a match and as many without.
 
-    They are found among at most about ``POOL_DOCS`` documents. Windows are cut in the tasks; the driver fits on at most ``2 * max_docs * WINDOWS`` of them.
+    Those with a match are chosen among all of the table; a pattern that passes them all
+    keeps the other texts out of the workers. Both choices are top-k by a hash, so no task
+    holds more than ``max_docs`` of a kind.
     """
 
     @F.arrow_udf("array<struct<tokens: array<string>, tags: array<int>, file: array<int>>>")
@@ -345,12 +350,27 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs: in
 
     n = docs.count()
     spread = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("secret")), F.lit(1 << 30))
-    pool = docs.where(F.length(text) > 0).where(spread < min(1.0, POOL_DOCS / max(1, n)) * (1 << 30))
-    cut = pool.select(spread.alias("_spread"), windows(F.col(text)).alias("_w"))
-    first = F.row_number().over(Window.partitionBy("_hit").orderBy("_spread"))
-    hit = F.exists("_w", lambda w: F.array_contains(w["tags"], BEGIN))
-    chosen = cut.withColumn("_hit", hit).withColumn("_first", first).where(F.col("_first") <= max_docs)
-    rows = chosen.select(F.explode("_w").alias("w")).select("w.*").collect()
+    maybe = F.col(text).rlike(MAYBE)
+    filled = docs.where(F.length(text) > 0)
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.orderBy("_spread", "_tie").limit(max_docs).select("_w")
+
+    def cut(rows: DataFrame) -> DataFrame:
+        return rows.select(spread.alias("_spread"), F.xxhash64(text).alias("_tie"), windows(F.col(text)).alias("_w"))
+
+    matched = F.exists("_w", lambda w: F.array_contains(w["tags"], BEGIN))
+    hit = first(cut(filled.where(maybe)).where(matched))
+    clean = first(cut(filled.where(spread < min(1.0, SEARCHED * max_docs / max(1, n)) * (1 << 30))).where(~matched))
+    return hit.union(clean).select(F.explode("_w").alias("w")).select("w.*")
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs: int = TRAIN_DOCS) -> Field:
+    """The field from windows of at most ``max_docs`` documents with a match and as many without.
+
+    Windows are cut in the tasks; the driver fits on at most ``2 * max_docs * WINDOWS`` of them.
+    """
+    rows = training_rows(docs, key, text, max_docs).collect()
     return fit([(r.tokens, r.tags, r.file) for r in rows])
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import pickle
 import random
 import re
@@ -121,6 +122,18 @@ def test_op4_ranks_rows_it_has_not_seen(spark):
     assert np.mean([g > b for g, b in itertools.product(good, bad)]) > 0.97
 
 
+def test_op4_probability_is_the_curve_over_the_mean_weights(spark):
+    model = quality.QualityModel(np.sin(np.arange(quality.N_BUCKETS)).astype(np.float32), 0.25, 0.7, -0.1)
+    texts = ["", "one two two three", "Straße #1\nStraße", "a" * 50, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in docs.select("doc_id", quality.margins_of(F.col("text"), model, spark).alias("m"), quality.measures_of(F.col("text"), model, spark).alias("p")).collect()}
+    for i, text in enumerate(texts):
+        vector = quality.feature_vector(text)
+        margin = 0.25 + sum(float(model.weights[j]) * v for j, v in zip(vector.indices, vector.values))
+        assert got[i].m == pytest.approx(margin, abs=1e-4)
+        assert got[i].p.probability == pytest.approx(1 / (1 + math.exp(-(0.7 * margin - 0.1))), abs=1e-5)
+
+
 def test_op4_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 300_000), (4, " ".join(map(str, range(50))))], "doc_id long, text string")
     docs = docs.selectExpr("*", "'x' as kept", "'y' as n_words", "1 as _m")
@@ -185,6 +198,14 @@ def test_field_tags_most_pattern_values_of_unseen_rows(spark, field):
     assert want > 50 and got > 0.9 * want
 
 
+def test_rare_matches_of_a_large_table_all_train(spark):
+    at = [7, 20_011, 40_013, 60_017, 99_991]
+    secret = F.concat(F.lit("set api_key = Zx9"), F.col("id").cast("string"), F.lit("abcdef now"))
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.when(F.col("id").isin(at), secret).otherwise(F.lit("plain words only")).alias("text"))
+    rows = secret_scan.training_rows(docs, "doc_id", "text", 50).collect()
+    assert sum(secret_scan.BEGIN in r.tags for r in rows) == len(at) and len(rows) == len(at) + 50
+
+
 def test_screened_decoding_is_viterbi_over_the_whole_text(field):
     rng = random.Random(6)
     words = ["the", "token", "=", '"', "04dbebab91ab85687d33", "AKIAABCDEFGHIJKL", "ofer.", "12", "Xk92kd83"]
