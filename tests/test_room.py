@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from legwork.sources import ledger, tables
 from legwork.sources.documents import scan_pages
+from legwork.streaming import current
+from legwork.streaming.ingest import stream_documents
 from suite import learning, staging
 from tests.samples import ALPHA, NO_LEGS, write_page
 
@@ -71,3 +73,29 @@ def test_a_batch_of_pages_is_bounded_by_its_bytes(spark, tmp_path):
     (file,) = (tmp_path / "pages").glob("*.parquet")
     meta = pq.ParquetFile(file).metadata
     assert meta.num_rows == 600 and max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) < 300
+
+
+def test_the_stateful_load_runs_no_python_per_flight(spark, tmp_path):
+    write_page(tmp_path / "landing", "1.json", [ALPHA, NO_LEGS], "2026-02-01 00:00:00")
+    stream = current.newest_documents(stream_documents(spark, str(tmp_path / "landing")))
+    assert "Python" not in stream._jdf.queryExecution().analyzed().toString()
+    assert "InPandas" not in stream._jdf.queryExecution().analyzed().toString()
+
+
+def test_versions_in_one_batch_and_stale_ones(spark, tmp_path):
+    def batch(*rows):
+        leg = '{"departureInformation": {"airport": {"code": "AAA"}}}'
+        docs = [(f, '{"id": "F", "flightScheduleDate": "2026-02-01", "flightLegs": [%s]}' % leg, t, "s", v) for f, t, v in rows]
+        typed = spark.createDataFrame(docs, "id string, payload string, t string, source string, version bigint")
+        return typed.withColumn("fetched_at", F.col("t").cast("timestamp")).select("id", "payload", "fetched_at", "source", "version")
+
+    def stored():
+        return {r.id: (str(r.fetched_at)[:10], r.version) for r in tables.read_table(spark, f"{path}/documents").collect()}
+
+    path = str(tmp_path / "tables")
+    current.write_newest(batch(("A", "2026-02-01", 1), ("A", "2026-02-02", 2), ("B", "2026-02-01", 5), (None, "2026-02-01", 1)), 0, path)
+    assert stored() == {"A": ("2026-02-02", 2), "B": ("2026-02-01", 5), None: ("2026-02-01", 1)}
+    current.write_newest(batch(("A", "2026-02-01", 9), ("B", "2026-02-01", 4), (None, "2026-01-31", 7)), 1, path)
+    assert stored() == {"A": ("2026-02-02", 2), "B": ("2026-02-01", 5), None: ("2026-02-01", 1)}
+    current.write_newest(batch(("A", "2026-02-03", 0), ("B", "2026-02-01", 6), ("C", "2026-01-01", 0)), 2, path)
+    assert stored() == {"A": ("2026-02-03", 0), "B": ("2026-02-01", 6), "C": ("2026-01-01", 0), None: ("2026-02-01", 1)}
