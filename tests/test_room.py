@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from legwork.plans import learn
 from legwork.sources import ledger, tables
 from legwork.sources.documents import scan_pages
 from legwork.streaming import current
@@ -99,3 +100,24 @@ def test_versions_in_one_batch_and_stale_ones(spark, tmp_path):
     assert stored() == {"A": ("2026-02-02", 2), "B": ("2026-02-01", 5), None: ("2026-02-01", 1)}
     current.write_newest(batch(("A", "2026-02-03", 0), ("B", "2026-02-01", 6), ("C", "2026-01-01", 0)), 2, path)
     assert stored() == {"A": ("2026-02-03", 0), "B": ("2026-02-01", 6), "C": ("2026-01-01", 0), None: ("2026-02-01", 1)}
+
+
+def test_a_small_fit_takes_few_tasks(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    row = spark.range(0, 900, 1, 4).withColumn("leg_id", F.concat(F.lit("F"), F.col("id"))).withColumn("label", (F.col("id") % 5 == 0).cast("int"))
+    columns = {c: (F.col("id") % (i + 3)).cast("int") for i, c in enumerate(learn.NUMERIC_FEATURES)}
+    columns |= {c: (F.col("id") % 4).cast("string") for c in learn.CATEGORICAL_FEATURES}
+    seen = {}
+
+    class Fit:
+        def fit(self, rows):
+            seen.update(tasks=rows.rdd.getNumPartitions(), labels=[r["count"] for r in rows.groupBy("label").count().collect()])
+
+    monkeypatch.setattr(learn, "forest", lambda settings: Fit())
+    try:
+        model, _ = learn.train(row.withColumns({**columns, "flight_id": F.lit("F")}))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen["tasks"] == 2 and len(set(seen["labels"])) == 1  # 720 rows, raised to equal classes
+    assert model.fit_rows == 720
