@@ -31,10 +31,12 @@ AROUND, WINDOWS = 16, 2
 STEPS = 100
 BUCKETS = 1 << 15
 PENALTY = 2e-4
+#: Features are kept for so many kinds of tokens; of the tokens themselves, about the last half as many and those of the half before.
 CACHED_TOKENS = 100_000
 CACHED_CHARS = 16
 #: Longer tokens are known by their shape only.
 WORD_CHARS = 10
+PLAIN_CHARS = 64
 REPLACEMENT = "[SECRET]"
 
 # The kinds of base spans, in the order of their listing
@@ -147,6 +149,8 @@ class Field(dict):
         super().__init__()
         self.weights, self.moves, self.vocabulary = weights, moves, vocabulary
         self.by_key: dict[tuple, int] = {}
+        self.older: dict[str, int] = {}
+        self.plain: dict[tuple[int, int, int], int] = {}
         self.rows = np.zeros((256, 1 + len(PLACES), 3), np.float32)
         self.leads = np.zeros((1 + len(PLACES), 256), np.float32)
         self.flags = np.zeros((256, 2), bool)
@@ -158,6 +162,28 @@ class Field(dict):
         return Field, (self.weights, self.moves, self.vocabulary)
 
     def __missing__(self, token: str) -> int:
+        at = self.older.get(token)
+        if at is None:
+            at = self.unseen(token)
+        if len(token) <= CACHED_CHARS:
+            self[token] = at
+        return at
+
+    def unseen(self, token: str) -> int:
+        """Words that the training did not meet differ by length and case only, so they skip the making of a key."""
+        core = token.lstrip()
+        if not core.isalpha() or len(core) > PLAIN_CHARS or (len(core) <= WORD_CHARS and core.lower() in self.vocabulary):
+            return self.row_of(token)
+        case = 1 if core.islower() else 2 if core.isupper() else 3 if core.istitle() else 0
+        if not case:
+            return self.row_of(token)
+        kind = len(core), len(token), case
+        at = self.plain.get(kind)
+        if at is None:
+            at = self.plain[kind] = self.row_of(token)
+        return at
+
+    def row_of(self, token: str) -> int:
         key = token_key(token, self.vocabulary)
         at = self.by_key.get(key)
         if at is None:
@@ -172,14 +198,17 @@ class Field(dict):
             self.leads[:, at] = self.rows[at, :, OUTSIDE] - self.rows[at, :, 1:].max(1)
             self.flags[at] = is_sign(token), token[-1].isdigit()
             self.by_key[key] = at
-        if len(token) <= CACHED_CHARS:
-            self[token] = at
         return at
 
     def row_ids(self, tokens: list[str]) -> np.ndarray:
-        if len(self) > CACHED_TOKENS or len(self.by_key) > CACHED_TOKENS:
+        if len(self.by_key) > CACHED_TOKENS:
             self.clear()
+            self.older = {}
+            self.plain.clear()
             self.by_key.clear()
+        elif len(self) > CACHED_TOKENS // 2:
+            self.older = dict(self)
+            self.clear()
         return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
 
     def file_scores(self, at: np.ndarray) -> np.ndarray:

@@ -237,6 +237,26 @@ def test_viterbi_finds_the_best_path():
         assert tuple(secret_scan.viterbi(scores, moves)) == max(itertools.product(range(3), repeat=n), key=total)
 
 
+def test_op2_keeps_features_when_tokens_turn_over(monkeypatch):
+    weights = np.random.default_rng(3).normal(size=(secret_scan.BUCKETS, 3)).astype(np.float32)
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcé", k=draw.choice((3, 5, 12)))) for _ in range(40)) for _ in range(30)]
+    texts += ["Known KNOWN known kNown Ω ΩΩ 12 0f0f0f0f0f x_1 漢字 ﬁn ª Ǆa ǅa", "known " + "z" * 90 + " " + "Q" * 12]
+    field = secret_scan.Field(weights, np.zeros((3, 3)), {"known", "aaa"})
+    whole = secret_scan.Field(weights, np.zeros((3, 3)), {"known", "aaa"})
+    made, real = [], secret_scan.own_features
+    monkeypatch.setattr(secret_scan, "own_features", lambda key: made.append(key) or real(key))
+    monkeypatch.setattr(secret_scan, "CACHED_TOKENS", 60)
+    for text in texts * 2:
+        tokens = secret_scan._TOKEN.findall(text)
+        at = field.row_ids(tokens)
+        for token, i in zip(tokens, at):
+            key = secret_scan.token_key(token, whole.vocabulary)
+            assert field.by_key[key] == i, token
+            assert np.array_equal(field.rows[i, 0], weights[real(key)].sum(0))
+    assert len(field) <= 60 // 2 + 40 and len(made) == len(set(made))
+
+
 def test_op2_odd_rows(spark, field):
     field = pickle.loads(pickle.dumps(field))
     long = "the and " * 200_000 + "token = abcdef12"
