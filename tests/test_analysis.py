@@ -306,6 +306,13 @@ def test_neighbours_of_any_number_equal_brute_force(spark, block):
         assert row.rep != row.neighbour and list(row.neighbour_vec) == list(by_rep["vec"][row.neighbour]) and row.neighbour_copies == by_rep["copies"][row.neighbour]
 
 
+def test_whole_blocks_are_joined_once(spark):
+    """Vectors that ask another block leave their own with its scan, not by a second join of whole blocks."""
+    points = spark.createDataFrame([(i, [float(i), i % 7.0]) for i in range(60)], "id long, vec array<double>")
+    found = neighbours.nearest_in_blocks(neighbours.distinct_vectors(points, "id", "vec"), 5, 20)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 2  # the other block, the neighbours' vectors
+
+
 def test_few_vectors_in_blocks(spark):
     points = spark.createDataFrame([(1, [0.0, 1.0]), (2, [3.0, 5.0]), (3, [3.0, 5.0])], "id long, vec array<double>")
     found = neighbours.nearest_in_blocks(neighbours.distinct_vectors(points, "id", "vec"), 5).collect()
