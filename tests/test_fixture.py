@@ -1,0 +1,54 @@
+"""How the order tables become documents."""
+
+import datetime
+
+from suite import fixture, staging
+
+DAY = datetime.date(1995, 1, 1)
+
+
+def write_tables(spark, folder):
+    """Three orders, one without lines; a line comes in two versions, and a supplier twice."""
+    line = lambda order, number, quantity, part=1: (order, part, 2, number, quantity, 10.0, 0.05, 0.02, "A", "F", DAY)
+    tables = {
+        "customer": ("c_custkey long, c_nationkey int, c_mktsegment string", [(1, 4, "HOUSEHOLD")]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(2, 9), (2, 3)]),
+        "part": ("p_partkey long, p_type string, p_brand string", [(1, "ECONOMY", "B1"), (29, "SMALL", "B2")]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string", [(k, 1, "F", "1-URGENT") for k in (5, 6, 7)]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+            " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date",
+            [line(5, 3, 50.0), line(5, 1, 8.0), line(5, 1, 7.0), line(5, 2, 31.0, 29), line(6, 1, 9.0), line(None, 1, 9.0)],
+        ),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_legs_are_nested_in_order(spark, tmp_path):
+    write_tables(spark, tmp_path)
+    found = {d.flightNumber: d for d in fixture.documents(spark, str(tmp_path)).collect()}
+    assert set(found) == {6, 7, 8} and found[8].flightLegs is None and found[8].route is None
+    legs = [(leg.departureInformation.airport.code, leg.departureInformation.airport.places.gateNumber) for leg in found[6].flightLegs]
+    # of equal line numbers the smaller airport comes first, as the sort by the whole line gave it
+    assert legs == [("N03", "G8"), ("N09", "G8"), ("N03", "G11"), ("N09", "G11"), ("N03", "G10"), ("N09", "G10")]
+    assert [leg.aircraft is None for leg in found[6].flightLegs] == [False, False, True, True, False, False]
+    assert found[6].route == ["N03", *["N04"] * 6] and len(found[7].flightLegs) == 2
+
+
+def test_whole_legs_are_neither_hashed_nor_sorted(spark, tmp_path, monkeypatch):
+    write_tables(spark, tmp_path)
+    key, plans = fixture.SORTED[0], []
+    before = spark.conf.get(key, "false")
+
+    def replace(df, path):
+        plan = df._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        plans.append(plan.toString().split("== Initial Plan ==")[0])
+
+    monkeypatch.setattr(staging, "replace", replace)
+    staging._write_documents(spark, str(tmp_path), str(tmp_path / "out"))
+    assert "SortAggregate" in plans[0] and "ObjectHashAggregate" not in plans[0]
+    nested = plans[0].index("SortAggregate")
+    assert "flightLegs" not in plans[0][nested:] and "lambda leg" not in plans[0]
+    assert spark.conf.get(key, "false") == before
