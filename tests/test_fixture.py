@@ -2,7 +2,7 @@
 
 import datetime
 
-from suite import fixture, staging
+from suite import fixture, registry, staging
 
 DAY = datetime.date(1995, 1, 1)
 
@@ -52,3 +52,13 @@ def test_whole_legs_are_neither_hashed_nor_sorted(spark, tmp_path, monkeypatch):
     nested = plans[0].index("SortAggregate")
     assert "flightLegs" not in plans[0][nested:] and "lambda leg" not in plans[0]
     assert spark.conf.get(key, "false") == before
+
+
+def test_legs_do_not_move_to_small_congestion(spark, tmp_path):
+    write_tables(spark, tmp_path)
+    made = registry.fct_from_documents(spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    final = plan.toString().split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in final
+    assert sorted(r.dep_airport_nb_departing for r in made.collect()) == [1, 1, 3, 3, 3, 3, 3, 3]
