@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from legwork.llm.byte_words import Words, WordTable, blocks, hashes, words_of
 from legwork.llm.chars import mix
-from legwork.llm.recurring import counted, may_recur, often, recurring
+from legwork.llm.recurring import counted, in_batches, may_recur, often, recurring, runs_of, taken
 from legwork.llm.storage import landed
 
 LEAST, TOP = 30, 50
@@ -86,28 +86,30 @@ def term_counts(docs: DataFrame, often_terms) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            keys, first, codes = np.unique(np.concatenate([k for k, _ in held]), return_index=True, return_inverse=True)
-            n = np.bincount(codes, minlength=len(keys))
-            n_docs = np.bincount(codes, np.concatenate([d for _, d in held]), minlength=len(keys)).astype(np.int64)
-            groups = list(numbers)
-            of = (keys >> 32).tolist()
-            terms = [table.names[i].decode("utf-8", "surrogatepass") for i in (keys & 0xFFFFFFFF).tolist()]
-            columns = [pa.array([groups[g][0] for g in of], pa.string()), pa.array([groups[g][1] for g in of], pa.string())]
-            return pa.record_batch([*columns, pa.array(terms, pa.string()), pa.array(n.astype(np.int64)), pa.array(n_docs)], names)
+            entries = taken(held)
+            starts, n = runs_of(entries >> 1)
+            n_docs = np.add.reduceat(entries & 1, starts) if len(starts) else n
+            keys = entries[starts] >> 1
+            # Each name becomes text once, and rows take theirs by number.
+            langs, sources = (pa.array([group[side] for group in numbers], pa.string()) for side in (0, 1))
+            terms = pa.array([name.decode("utf-8", "surrogatepass") for name in table.names], pa.string())
+            of, term = pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF)
+            return in_batches(pa.record_batch([langs.take(of), sources.take(of), terms.take(term), pa.array(n), pa.array(n_docs)], names))
 
         for words, plain, groups in _read(batches):
             at = np.flatnonzero(may_recur(_keys(words, plain, groups), often_terms.value))
             of = np.array([numbers.setdefault(group, len(numbers)) for group in groups], np.int64)
-            opens = np.zeros(len(plain))
+            opens = np.zeros(len(plain), np.int64)
             opens[_first_in_text(words, plain)] = 1
-            held.append((of[words.text[at]] << 32 | table.numbers(words, at, plain, hashes(words, 1)), opens[at]))
+            # Group, word, and in the lowest bit whether it is the word's first in its text.
+            held.append((of[words.text[at]] << 32 | table.numbers(words, at, plain, hashes(words, 1))) << 1 | opens[at])
             size += len(at)
             if size > COMBINED or len(table) > NAMES:
-                yield flush()
-                held, size = [], 0
+                yield from flush()
+                size = 0
                 table, numbers = WordTable(), {}
         if held:
-            yield flush()
+            yield from flush()
 
     return docs.mapInArrow(count, "lang string, source string, term string, n bigint, n_docs bigint")
 
@@ -166,20 +168,28 @@ def shares(total: int, kinds: int, counts: list[int]) -> list[int]:
     return [1 + SCALE * (n + PRIOR) // (total + PRIOR * kinds) for n in counts]
 
 
+def lists_of(parts: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.ListArray:
+    """One list per array, without a Python object per value."""
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]), kind))
+
+
 def run_lengths(low: Column, high: Column, entries: Column, total: Column, kinds: Column) -> Column:
     """A column's runs over the positions ``low`` to ``high``: where each ends, its count and its p."""
 
     @F.arrow_udf("struct<ends: array<int>, counts: array<bigint>, p: array<bigint>>")
     def encode(first: pa.Array, last: pa.Array, rows: pa.Array, totals: pa.Array, sizes: pa.Array) -> pa.Array:
-        found = []
+        places, held, p = [], [], []
         for a, b, row, n, v in zip(first.to_pylist(), last.to_pylist(), rows, totals.to_pylist(), sizes.to_pylist()):
             dense = np.zeros(b - a + 1, np.int64)
             if row.is_valid and len(row.values):
                 dense[row.values.field("position").to_numpy() - a] = row.values.field("n").to_numpy()
             ends = np.append(np.flatnonzero(np.diff(dense)) + 1, len(dense))
             counts = dense[ends - 1]
-            found.append({"ends": ends + a, "counts": counts, "p": shares(n, v, counts.tolist())})
-        return pa.array(found, pa.struct([("ends", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64())), ("p", pa.list_(pa.int64()))]))
+            places.append(ends + a)
+            held.append(counts)
+            p.append(np.array(shares(n, v, counts.tolist()), np.int64))
+        return pa.StructArray.from_arrays([lists_of(places, pa.int32()), lists_of(held), lists_of(p)], ["ends", "counts", "p"])
 
     return encode(low, high, entries, total, kinds)
 
@@ -226,13 +236,17 @@ def excesses(low: Column, left: Column, right: Column) -> Column:
 
     @F.arrow_udf("array<struct<start: int, stop: int, value: bigint>>")
     def cut(lows: pa.Array, lefts: pa.Array, rights: pa.Array) -> pa.Array:
-        found = []
+        starts, stops, values = [], [], []
         for at, one, two in zip(lows.to_pylist(), lefts, rights):
             ends, lengths, i, j = _meet(at, one, two)
             over = one["p"].values.to_numpy()[i] - two["p"].values.to_numpy()[j]
             on = np.flatnonzero((over > 0) & (one["counts"].values.to_numpy()[i] > 0))
-            found.append([{"start": s, "stop": e, "value": v} for s, e, v in zip((ends - lengths)[on].tolist(), ends[on].tolist(), over[on].tolist())])
-        return pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("value", pa.int64())])))
+            starts.append((ends - lengths)[on])
+            stops.append(ends[on])
+            values.append(over[on])
+        first, last, value = lists_of(starts, pa.int32()), lists_of(stops, pa.int32()), lists_of(values)
+        pieces = pa.StructArray.from_arrays([first.values, last.values, value.values], ["start", "stop", "value"])
+        return pa.ListArray.from_arrays(first.offsets, pieces)
 
     return cut(low, left, right)
 

@@ -140,6 +140,15 @@ def test_filter_never_denies(spark):
     assert held[np.arange(3000) % 5 >= 3].all() and held.mean() < 0.6
 
 
+def test_counts_leave_a_task_in_bounded_batches():
+    keys = np.arange(300_000, dtype=np.uint64)
+    found = list(recurring.counted([keys, keys[:7], keys[:0]]))
+    assert max(map(len, found)) <= recurring.BATCH_ROWS
+    n = {k: n for batch in found for k, n in zip(batch.column("key").to_pylist(), batch.column("n").to_pylist())}
+    assert len(n) == 300_000 and [k for k in n if n[k] == 2] == list(range(7)) and sum(n.values()) == 300_007
+    assert list(recurring.counted([])) == [] and not [b for b in recurring.counted([keys[:0]]) if len(b)]
+
+
 # ---- phrases ----
 
 
