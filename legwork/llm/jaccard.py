@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from legwork.llm.chars import mix
 from legwork.llm.components import components
 from legwork.llm.key_filter import maybe_in
+from legwork.llm.recurring import in_batches, runs_of, taken
 from legwork.llm.storage import landed
 
 WORDS = 5
@@ -83,19 +84,20 @@ def frequent_shingles(docs: DataFrame, text: str, n_docs: int) -> tuple[np.ndarr
         held, size = [], 0
 
         def flush():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
+            found = taken(held)
+            starts, n = runs_of(found)
             kept = n >= LEAST
-            return pa.record_batch([pa.array(found[kept].view(np.int64)), pa.array(n[kept])], ["shingle", "n"])
+            return in_batches(pa.record_batch([pa.array(found[starts[kept]].view(np.int64)), pa.array(n[kept])], ["shingle", "n"]))
 
         for batch in batches:
             for value in batch.column(0):
                 held.append(shingles(value.as_py()))
                 size += len(held[-1])
                 if size > COUNTED:
-                    yield flush()
-                    held, size = [], 0
+                    yield from flush()
+                    size = 0
         if held:
-            yield flush()
+            yield from flush()
 
     counts = docs.select(text).mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     counts = landed(counts.withColumn("level", F.floor(F.log2("n") * LEVELS)))
@@ -250,8 +252,11 @@ def star_pairs(buckets: DataFrame, placed: DataFrame, turn: int) -> DataFrame:
 def share_enough(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Pairs of groups whose common prefix shingles, and all beyond a prefix, can make them similar.
 
-    Prefixes are a fifth of the sets, so most pairs end here before whole sets move.
+    Prefixes are a fifth of the sets, so most pairs end here before whole sets move, and
+    only prefixes of a pair's groups do.
     """
+    wanted = landed(pairs.select("gid").union(pairs.select("o_gid")).distinct())
+    prefixes = prefixes.where(maybe_in("gid", wanted))
     left = prefixes.select("gid", F.col("n").alias("_a"), F.col("prefix").alias("_left"))
     right = prefixes.select(F.col("gid").alias("o_gid"), F.col("n").alias("_b"), F.col("prefix").alias("_right"))
     both = pairs.join(right, "o_gid").join(left, "gid")
@@ -260,15 +265,24 @@ def share_enough(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("_left", "_right")) + beyond >= needed).select("gid", "o_gid")
 
 
+def meeting(buckets: DataFrame) -> DataFrame:
+    """``gid, o_gid`` of the groups that share a bucket, pass the filters and are not in one component.
+
+    Both sides keep their columns' names, so that the buckets are shuffled once for the two.
+    """
+    one, two = (lambda c: F.col(f"one.{c}")), (lambda c: F.col(f"two.{c}"))
+    differ = (one("low") != two("low")) | (one("high") != two("high")) | (one("low") != one("high"))
+    apart = (one("gid") < two("gid")) & differ & can_link("one.n", "one.position", "two.n", "two.position")
+    met = buckets.alias("one").join(buckets.alias("two"), one("shingle") == two("shingle")).where(apart)
+    return met.select(one("gid"), two("gid").alias("o_gid")).distinct()
+
+
 def open_pairs(buckets: DataFrame, placed: DataFrame, prefixes: DataFrame) -> DataFrame:
     """All candidate pairs of members that are in different components."""
     posted = parted_buckets(buckets, placed)
     split = posted.groupBy("shingle").agg(F.min("low").alias("_low"), F.max("high").alias("_high")).where("_low <> _high")
-    left = landed(posted.join(split.select("shingle"), "shingle", "left_semi").select("shingle", "gid", "n", "position", "low", "high"))
-    right = left.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("gid", "n", "position", "low", "high")])
-    differ = (F.col("low") != F.col("o_low")) | (F.col("high") != F.col("o_high")) | (F.col("low") != F.col("high"))
-    met = left.join(right, "shingle").where((F.col("gid") < F.col("o_gid")) & differ & can_link("n", "position", "o_n", "o_position"))
-    groups = share_enough(landed(met.select("gid", "o_gid").distinct()), prefixes)
+    open_buckets = landed(posted.join(split.select("shingle"), "shingle", "left_semi").select("shingle", "gid", "n", "position", "low", "high"))
+    groups = share_enough(landed(meeting(open_buckets)), prefixes)
     one = placed.select("gid", F.col("set_id").alias("a"), F.col("part").alias("_a"))
     two = placed.select(F.col("gid").alias("o_gid"), F.col("set_id").alias("b"), F.col("part").alias("_b"))
     across = groups.join(one, "gid").join(two, "o_gid").where("_a <> _b").select("a", "b")

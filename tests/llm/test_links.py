@@ -96,6 +96,24 @@ def test_op5_odd_rows(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0 and jaccard.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_meeting_shuffles_the_buckets_once(spark, tmp_path):
+    """Groups 1 and 2 share a bucket across components, 2 and 3 lie in one, and 4 is too large for any."""
+    rows = [(7, 1, 20, 0, 1, 1), (7, 2, 20, 1, 2, 2), (7, 3, 20, 0, 2, 2), (7, 4, 90, 0, 4, 4), (8, 1, 20, 1, 1, 1), (8, 2, 20, 2, 2, 2)]
+    spark.createDataFrame(rows, "shingle long, gid long, n long, position int, low long, high long").write.parquet(f"{tmp_path}/buckets")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        met = jaccard.meeting(spark.read.parquet(f"{tmp_path}/buckets"))
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in plan
+        assert sorted(map(tuple, met.collect())) == [(1, 2), (1, 3)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_one_of_each_loses_no_text(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
     rows = [(1, a), (1, b), (2, a), (3, b + " more"), (4, None), (4, ""), (5, "a"), (5, "b"), (5, "b")]
