@@ -48,6 +48,37 @@ def test_more_fitted_rows_do_not_harm(rows):
     assert few.fit_rows < 200 and auc[1] >= auc[0] - 0.02
 
 
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_models_are_fitted_on_the_whole_training_share(spark, kind):
+    """Also where it is larger than any bound on fitted rows that a default might set."""
+    noise = lambda i, n: F.pmod(F.xxhash64("id", F.lit(i)), F.lit(n)).cast("int")
+    legs = spark.range(0, 8_000, 1, 4).select(
+        F.concat(F.lit("leg"), "id").alias("leg_id"), F.lit("f").alias("flight_id"),
+        *[noise(i, 24).alias(name) for i, name in enumerate(features.NUMERIC_FEATURES)],
+        F.concat(F.lit("C"), noise(21, 3)).alias("airline_key"), F.lit("T").alias("aircraft_type_code"),
+        (noise(22, 4) == 0).cast("int").alias("label"),
+    )
+    model, split = learn.train(legs, learn.Settings(trees=4, rounds=2, depth=2, oversample=False), kind)
+    assert model.fit_rows == split.where("is_train").count() == 6_400
+
+
+def test_a_forest_fitted_in_parts_is_one_model(rows, tmp_path):
+    settings = learn.Settings(trees=10, depth=4)
+    model, split = learn.train(rows, settings)
+    assert model.classifier.getNumTrees == len(model.classifier.trees) == 10 and model.classifier.getMaxDepth() == 4
+    assert len({t.toDebugString for t in model.classifier.trees}) == 10  # no part repeats another's trees
+    assert sum(model.classifier.featureImportances.toArray()) == pytest.approx(1)
+    model.save(str(tmp_path))
+    scores = [{r.leg_id: r.delay_probability for r in learn.score(m, split).collect()} for m in (model, learn.load_model(str(tmp_path)))]
+    assert scores[0] == pytest.approx(scores[1]) and len(scores[0]) == 1600
+
+
+def test_tasks_of_a_fit_grow_with_the_rows_only_where_one_cannot_hold_them(rows):
+    assert learn._tasks(rows, 36_000, "forest") == 1 and learn._tasks(rows, 20_000_000, "forest") == 100
+    assert learn._tasks(rows, 36_000, "boosted") == rows.sparkSession.sparkContext.defaultParallelism
+    assert learn._tasks(rows, 20_000_000, "boosted") == 100 and learn._tasks(rows, 0, "forest") == 1
+
+
 def test_split_is_by_key(rows):
     """The rows set aside do not depend on the order or the partitions of the input."""
     split = lambda df: {r.leg_id for r in features.stratified_split(df, "label", "leg_id").where("not is_train").collect()}
