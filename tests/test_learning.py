@@ -62,7 +62,8 @@ def test_models_are_fitted_on_the_whole_training_share(spark, kind):
     assert model.fit_rows == split.where("is_train").count() == 6_400
 
 
-def test_a_forest_fitted_in_parts_is_one_model(rows, tmp_path):
+def test_a_forest_fitted_in_parts_is_one_model(rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(learn, "SMALL_FIT", 0)
     settings = learn.Settings(trees=10, depth=4)
     model, split = learn.train(rows, settings)
     assert model.classifier.getNumTrees == len(model.classifier.trees) == 10 and model.classifier.getMaxDepth() == 4
@@ -77,6 +78,7 @@ def test_tasks_of_a_fit_grow_with_the_rows_only_where_one_cannot_hold_them(rows)
     assert learn._tasks(rows, 36_000, "forest") == 1 and learn._tasks(rows, 20_000_000, "forest") == 100
     assert learn._tasks(rows, 36_000, "boosted") == rows.sparkSession.sparkContext.defaultParallelism
     assert learn._tasks(rows, 20_000_000, "boosted") == 100 and learn._tasks(rows, 0, "forest") == 1
+    assert learn._tasks(rows, 1_500, "forest") == 3
 
 
 def test_split_is_by_key(rows):
